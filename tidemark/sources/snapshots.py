@@ -94,11 +94,9 @@ def is_unreadable(documents: DataFrame) -> Column:
 
 def file_statistics(documents: DataFrame) -> DataFrame:
     """Documents loaded and errors seen per file."""
-    # the payload is named next to the corrupt text because the JSON source refuses a
-    # projection of the corrupt text alone
-    bad = is_unreadable(documents) | (F.col("extracted_at").isNull() & F.lit(False))
+    # reads a payload column too: the JSON source refuses to project the corrupt text alone
     return (
-        documents.select("source_file", bad.alias("_bad"), "extracted_at")
+        documents.select("source_file", is_unreadable(documents).alias("_bad"), "extracted_at")
         .groupBy("source_file")
         .agg(
             F.count_if(~F.col("_bad")).alias("rows_loaded"),
