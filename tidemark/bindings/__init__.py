@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ("report_queries", "operator_queries")
+_MODULES = ("report_queries", "operator_queries", "expression_queries", "source_queries")
 
 
 def _load():

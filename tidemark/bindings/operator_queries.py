@@ -10,7 +10,6 @@ from tidemark.bindings import lens
 from tidemark.bindings.lens import (
     ALL_TABLES_SQL,
     CONTRACTS_SQL,
-    DETAILS_SQL,
     DOCUMENTS_SQL,
     MARKETS_SQL,
     RAW_CONTRACTS_SQL,
@@ -19,8 +18,7 @@ from tidemark.bindings.lens import (
     TABLES_SQL,
 )
 from tidemark.bindings.registry import big, date_text, dbl, query, rnd, ts
-from tidemark.bindings.report_queries import category_sql
-from tidemark.functions.columns import keyword_label, percent_over, rounded
+from tidemark.functions.columns import json_array_size, keyword_label, percent_over, rounded
 from tidemark.operators import aggregate, flatten, latest, merge
 from tidemark.plans import model, reports
 
@@ -169,14 +167,22 @@ def _(spark, sf):
     return aggregate.histogram(values, "value", _EVENT_EDGES, _EVENT_LABELS)
 
 
+# fixed values: keyword rules for whole document texts
+_TEXT_RULES = {"Contact": ("@", "phone"), "Licence": ("license", "copyright"), "French": (" le ", " la "), "Web": ("http",)}
+
+
 @query(
     "a6_keyword_categories",
-    f"""SELECT {category_sql('text')} AS category, COUNT(*) AS num_documents, {big('SUM(n_chars)')} AS chars
+    f"""SELECT CASE WHEN contains(lower(text), '@') OR contains(lower(text), 'phone') THEN 'Contact'
+  WHEN regexp_matches(lower(text), 'license|copyright') THEN 'Licence'
+  WHEN regexp_matches(lower(text), ' le | la ') THEN 'French'
+  WHEN contains(lower(text), 'http') THEN 'Web' ELSE 'Other' END AS category,
+  COUNT(*) AS num_documents, {big('SUM(n_chars)')} AS chars
 FROM documents GROUP BY 1""",
 )
 def _(spark, sf):
     aggregates = (F.count("*").alias("num_documents"), F.sum("n_chars").alias("chars"))
-    return aggregate.keyword_category(lens.table(spark, sf, "documents"), "text", reports.CATEGORY_RULES, aggregates)
+    return aggregate.keyword_category(lens.table(spark, sf, "documents"), "text", _TEXT_RULES, aggregates)
 
 
 # --- windows ----------------------------------------------------------------------------------
@@ -381,7 +387,7 @@ def _(spark, sf):
 @query(
     "k11c_merge_counts",
     _MERGED_SUMMARY
-    + """ SELECT COUNT_IF(i) AS inserted, COUNT_IF(NOT i) AS updated, (SELECT COUNT(*) FROM t ANTI JOIN s USING (market_id)) AS kept
+    + """ SELECT CAST(COUNT_IF(i) AS BIGINT) AS inserted, CAST(COUNT_IF(NOT i) AS BIGINT) AS updated, (SELECT COUNT(*) FROM t ANTI JOIN s USING (market_id)) AS kept
 FROM (SELECT market_id NOT IN (SELECT market_id FROM t) AS i FROM s)""",
 )
 def _(spark, sf):
@@ -403,10 +409,6 @@ def _(spark, sf):
     return merge.insert_if_absent(target, source, model.DAILY_KEYS, check_unique=False)
 
 
-# the reference form of the delete: rows whose pair is not among the newest pairs
-_KEEP_SQL = """SELECT {out} FROM e WHERE ((k, t) NOT IN (SELECT (k, MAX(t)) FROM e GROUP BY k)) IS NOT TRUE"""
-
-
 @query(
     "k13_keep_latest_rows",
     f"""WITH {RAW_SQL} SELECT market_id, {ts('extraction_timestamp')} AS extraction_timestamp, COUNT(*) AS copies
@@ -516,8 +518,6 @@ _RAW_OUT = f"""market_id, market_name, short_name, market_url, market_status,
 
 
 def _raw_out(raw, is_variant):
-    from tidemark.functions.columns import json_array_size
-
     return raw.select(
         "market_id",
         "market_name",
@@ -627,6 +627,3 @@ def _(spark, sf):
         reports.difference("best_sell_yes_cost", "best_buy_yes_cost").alias("spread"),
         percent_over("best_sell_yes_cost", "best_buy_yes_cost").alias("spread_pct"),
     )
-
-
-__all__ = ["DETAILS_SQL", "trends"]

@@ -41,24 +41,38 @@ def null_slot(df: DataFrame, keys: Sequence[str]) -> Column:
     return F.when(incomplete, spread + 1).otherwise(F.lit(0).cast("bigint"))
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Size of the frame, measured: text and nested columns by length, others by a fixed width."""
+def _row_bytes(df: DataFrame) -> Column:
+    """Bytes of one row: text and nested columns by length, others by a fixed width."""
     width = F.lit(_FIXED_WIDTH * max(len(df.columns), 1)).cast("bigint")
     for field in df.schema.fields:
-        name = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, T.StringType):
-            width = width + F.coalesce(F.octet_length(name), F.lit(0))
-        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
-            width = width + F.coalesce(F.octet_length(F.to_json(F.struct(name))), F.lit(0))
-    return df.agg(F.coalesce(F.sum(width), F.lit(0)).cast("bigint")).first()[0]
+        value = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+            value = F.to_json(F.struct(value))
+        elif not isinstance(field.dataType, T.StringType):
+            continue
+        width = width + F.coalesce(F.octet_length(value), F.lit(0))
+    return width
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Size of the frame in bytes, from one aggregate over its rows."""
+    return df.agg(F.coalesce(F.sum(_row_bytes(df)), F.lit(0)).cast("bigint")).first()[0]
 
 
-def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
-    """Raise when a complete key occurs twice. Counts are combined before the shuffle."""
-    complete = df.select(*keys).dropna("any")
-    repeated = complete.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1").head(1)
-    if repeated:
-        raise DuplicateSourceKeys(f"source holds {repeated[0].asDict()}")
+def require_unique(df: DataFrame, keys: Sequence[str]) -> int:
+    """Raise when a complete key occurs twice; returns the size of the frame in bytes.
+
+    One pass: rows are counted per key before the shuffle, so a hot key is one row per task.
+    """
+    complete = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    per_key = df.groupBy(*keys).agg(F.count("*").alias("_n"), F.sum(_row_bytes(df)).alias("_bytes"))
+    facts = per_key.agg(
+        F.max(F.when(complete, F.struct("_n", F.struct(*keys).alias("key")))).alias("most"),
+        F.coalesce(F.sum("_bytes"), F.lit(0)).cast("bigint").alias("bytes"),
+    ).first()
+    if facts["most"] and facts["most"]["_n"] > 1:
+        raise DuplicateSourceKeys(f"source holds {facts['most']['key'].asDict()} {facts['most']['_n']} times")
+    return facts["bytes"]
 
 
 def merge_upsert(
@@ -79,16 +93,16 @@ def merge_upsert(
     columns NULL. Rows with a NULL key never match. With ``newer_by`` a matched row changes
     only when the source is not older. ``action_column`` adds updated, inserted or kept.
 
-    A source measured within ``broadcast_limit`` is broadcast and the target is not shuffled;
-    a larger one goes through a full outer join on the keys.
+    A source measured within ``broadcast_limit`` bytes is broadcast and the target is not
+    shuffled; a larger one goes through a full outer join on the keys. Checking and measuring
+    run the source once more, so pass a stored table rather than a long plan.
     """
     keys = list(keys)
     insert_columns = list(insert_columns or [*keys, *update_columns])
     used = list(dict.fromkeys([*keys, *update_columns, *insert_columns, *([newer_by] if newer_by else [])]))
     source = source.select(*used)
-    if check_unique:
-        require_unique(source, keys)
-    if broadcast_limit and measured_bytes(source) <= broadcast_limit:
+    size = require_unique(source, keys) if check_unique else None
+    if broadcast_limit and (measured_bytes(source) if size is None else size) <= broadcast_limit:
         return _merge_small(target, source, keys, update_columns, insert_columns, newer_by, action_column)
     return _merge_large(target, source, keys, update_columns, insert_columns, newer_by, action_column)
 

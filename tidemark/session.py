@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # UTC keeps date boundaries equal on every executor; ANSI makes bad casts fail
 # instead of turning into NULL silently.
@@ -48,6 +48,17 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def stored(df: DataFrame, name: str = "stored") -> DataFrame:
+    """The frame written to the shared folder and read back.
+
+    Used where a result is needed more than once: its plan runs once, and a lost executor
+    costs a re-read.
+    """
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def hadoop_fs(spark: SparkSession, path: str):
     """Hadoop ``FileSystem`` and ``Path`` for a location on any store."""
     jvm = spark.sparkContext._jvm
