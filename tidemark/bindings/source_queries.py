@@ -10,7 +10,6 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.bindings import lens
 from tidemark.bindings.lens import ALL_TABLES_SQL, DOCUMENTS_SQL, MARKETS_SQL, RAW_SQL, SUMMARY_SQL, TABLES_SQL
@@ -75,7 +74,7 @@ def event_lake(spark, sf) -> str:
     return landed(spark, sf, "lake", write)
 
 
-EVENT_SCHEMA = T.StructType.fromDDL(
+EVENT_SCHEMA = (
     "extracted_at STRING, source STRING, data STRUCT<event_type: STRING, "
     "event: STRUCT<event_id: BIGINT, user_id: BIGINT, value: DOUBLE>>"
 )
@@ -194,7 +193,7 @@ def _(spark, sf):
         text.write.option("compression", "gzip").text(path)
 
     return snapshots.read_files(
-        spark, landed(spark, sf, "arrays", write), "json", T.StructType.fromDDL("id BIGINT, part BIGINT")
+        spark, landed(spark, sf, "arrays", write), "json", "id BIGINT, part BIGINT"
     )
 
 

@@ -33,13 +33,14 @@ def shared_dir(spark: SparkSession) -> str:
     A temporary folder stands in only in local mode, where driver and executors
     are one process. On a cluster an unset folder is an error.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    name = "spark.checkpoint.dir"
+    configured = spark.conf.get(name, None) or spark.sparkContext.getConf().get(name)
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
     path = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set("spark.checkpoint.dir", path)
+    spark.conf.set(name, path)
     return path
 
 

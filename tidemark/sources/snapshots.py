@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 
 from tidemark.session import hadoop_fs
 
+Schema = str | T.StructType
+
 CORRUPT = "_corrupt_record"
 JSON_FILES = "*.json*"  # also matches compressed files such as x.json.gz
 
@@ -24,9 +26,7 @@ MARKET_DDL = (
     "id BIGINT, name STRING, shortName STRING, url STRING, status STRING, "
     f"contracts ARRAY<STRUCT<{CONTRACT_DDL}>>"
 )
-SNAPSHOT_SCHEMA = T.StructType.fromDDL(
-    f"extracted_at TIMESTAMP_NTZ, source STRING, data STRUCT<markets: ARRAY<STRUCT<{MARKET_DDL}>>>"
-)
+SNAPSHOT_SCHEMA = f"extracted_at TIMESTAMP_NTZ, source STRING, data STRUCT<markets: ARRAY<STRUCT<{MARKET_DDL}>>>"
 
 ON_ERROR = {"CONTINUE": "PERMISSIVE", "ABORT_STATEMENT": "FAILFAST"}
 
@@ -39,12 +39,12 @@ class Location:
     path: str
     file_format: str = "json"
 
-    def read(self, spark: SparkSession, schema: T.StructType | None = None, **options: str) -> DataFrame:
+    def read(self, spark: SparkSession, schema: Schema | None = None, **options: str) -> DataFrame:
         return read_files(spark, self.path, self.file_format, schema, **options)
 
 
 def read_files(
-    spark: SparkSession, path: str, file_format: str, schema: T.StructType | None = None, **options: str
+    spark: SparkSession, path: str, file_format: str, schema: Schema | None = None, **options: str
 ) -> DataFrame:
     """Read JSON, CSV or Parquet files."""
     fmt = file_format.lower()
@@ -63,7 +63,7 @@ def read_documents(
     pattern: str = JSON_FILES,
     file_regex: str | None = None,
     one_per_file: bool = True,
-    schema: T.StructType = SNAPSHOT_SCHEMA,
+    schema: Schema = SNAPSHOT_SCHEMA,
 ) -> DataFrame:
     """Typed documents with ``source_file``, ``loaded_at`` and the text of unreadable ones.
 
@@ -73,9 +73,11 @@ def read_documents(
     if on_error not in ON_ERROR:
         raise ValueError(f"Unsupported on_error: {on_error}")
     tolerant = on_error == "CONTINUE"
-    wanted = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]) if tolerant else schema
+    if tolerant:
+        with_text = f"{schema}, {CORRUPT} STRING"
+        schema = with_text if isinstance(schema, str) else T.StructType([*schema.fields]).add(CORRUPT, "string")
     documents = (
-        spark.read.schema(wanted)
+        spark.read.schema(schema)
         .option("mode", ON_ERROR[on_error])
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("multiLine", one_per_file)
@@ -171,7 +173,7 @@ def in_days(first: date, last: date) -> Column:
 
 
 def read_lake(
-    spark: SparkSession, path: str, first: date | None = None, last: date | None = None, schema=SNAPSHOT_SCHEMA
+    spark: SparkSession, path: str, first: date | None = None, last: date | None = None, schema: Schema = SNAPSHOT_SCHEMA
 ) -> DataFrame:
     """Documents under ``year=/month=/day=`` folders; days outside the range are not listed as input."""
     lake = spark.read.schema(schema).json(path)
