@@ -132,3 +132,15 @@ def test_null_counts_lead_the_ranking(tables):
 def test_trends_keep_nulls(tables):
     rows = {r.market_id: r for r in model.market_trends(*tables).collect()}
     assert rows[4].avg_price is None and rows[3].price_volatility is None and rows[1].max_price == Decimal("0.3")
+
+
+@pytest.mark.parametrize("orphans", [0, 3])
+def test_top_k_joined_equals_the_full_join(spark, orphans):
+    child = spark.createDataFrame([(i, 100 + i % 5, 50 - i) for i in range(40)], "id INT, key INT, v INT")
+    parent = spark.createDataFrame([(100 + i, f"p{i}") for i in range(orphans, 5)], "key INT, name STRING")
+    order = [*c.descending("v"), *c.ascending("id")]
+    got = aggregate.top_k_joined(child, parent, "key", order, 6).select("id", "name").collect()
+    assert got == aggregate.top_k(child.join(parent, "key"), order, 6).select("id", "name").collect()
+    assert len(got) == 6
+    few = aggregate.top_k_joined(child.limit(2), parent, "key", order, 6)
+    assert few.count() == (2 if not orphans else 0)

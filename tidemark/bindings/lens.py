@@ -163,26 +163,62 @@ ALL_TABLES_SQL = f"WITH {MARKETS_SQL},\n{CONTRACTS_SQL},\n{METRICS_SQL}\n"
 # --- document view ----------------------------------------------------------------------------
 
 
-def _contract(number: int, market: Column, old_names: bool) -> Column:
-    discount, tax = _price(F.col("l_discount")), _price(F.col("l_tax"))
-    contract_id = market * 10 + number
-    name = F.concat(F.lit(f"Contract {number} of "), market.cast("string"))
+def _contracts(count: Column, market: Column, old_names: bool) -> Column:
+    """The first ``count`` contracts of a market; NULL for a NULL count."""
     nothing = F.lit(None)
-    step = F.lit(f"0.0{number}").cast("decimal(10,4)")
-    priced = F.when(F.col("l_quantity") >= 5 * (number - 1), discount * 8 + step)
-    return F.struct(
-        (nothing.cast("bigint") if old_names else contract_id).alias("id"),
-        (nothing.cast("string") if old_names else name).alias("name"),
-        (contract_id if old_names else nothing.cast("bigint")).alias("contractId"),
-        (name if old_names else nothing.cast("string")).alias("contractName"),
-        F.when(F.col("l_linestatus") == "O", "Open").otherwise("Closed").alias("status"),
-        _price(priced).alias("lastTradePrice"),
-        _price(discount * 8).alias("bestBuyYesCost"),
-        _price(tax * 10).alias("bestSellYesCost"),
-        _price(1 - discount * 8).alias("bestBuyNoCost"),
-        _price(1 - tax * 10).alias("bestSellNoCost"),
-        _price(F.col("l_quantity") / 50).alias("lastClosePrice"),
-        F.lit(number).alias("displayOrder"),
+
+    def contract(item: Column) -> Column:
+        number = item["number"]
+        contract_id = market * 10 + number
+        name = F.concat(F.lit("Contract "), number.cast("string"), F.lit(" of "), market.cast("string"))
+        return F.struct(
+            (nothing.cast("bigint") if old_names else contract_id).alias("id"),
+            (nothing.cast("string") if old_names else name).alias("name"),
+            (contract_id if old_names else nothing.cast("bigint")).alias("contractId"),
+            (name if old_names else nothing.cast("string")).alias("contractName"),
+            F.col("line_status").alias("status"),
+            _price(F.when(F.col("l_quantity") >= 5 * (number - 1), F.col("buy") + item["step"])).alias("lastTradePrice"),
+            F.col("buy").alias("bestBuyYesCost"),
+            F.col("sell").alias("bestSellYesCost"),
+            F.col("buy_no").alias("bestBuyNoCost"),
+            F.col("sell_no").alias("bestSellNoCost"),
+            F.col("close").alias("lastClosePrice"),
+            number.alias("displayOrder"),
+        )
+
+    steps = [F.struct(F.lit(i).alias("number"), F.lit(f"0.0{i}").cast("decimal(4,2)").alias("step")) for i in (1, 2, 3)]
+    return F.transform(F.slice(F.array(*steps), F.lit(1), count), contract)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt over all cores when the scan has fewer tasks than cores.
+
+    A small table in one row group is read by one task; building documents from it would keep
+    the other cores idle. Larger scans are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def _quoted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with their quotes; decimals are made once per line, not once per contract."""
+    buy, sell = _price(F.col("l_discount")) * 8, _price(F.col("l_tax")) * 10
+    return spread(table(spark, sf_dir, "lineitem")).select(
+        "l_orderkey",
+        "l_partkey",
+        "l_suppkey",
+        "l_linenumber",
+        "l_quantity",
+        "l_tax",
+        "l_returnflag",
+        "l_linestatus",
+        "l_shipdate",
+        F.when(F.col("l_linestatus") == "O", "Open").otherwise("Closed").alias("line_status"),
+        _price(buy).alias("buy"),
+        _price(sell).alias("sell"),
+        _price(1 - buy).alias("buy_no"),
+        _price(1 - sell).alias("sell_no"),
+        _price(F.col("l_quantity") / 50).alias("close"),
     )
 
 
@@ -190,18 +226,16 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One snapshot document per line item, typed: extracted_at, source, data.markets."""
     line_market = F.col("l_orderkey") * 10 + F.col("l_linenumber")
     part_market = F.col("l_partkey") + F.lit(PART_MARKETS)
-    line = [_contract(i, line_market, old_names=False) for i in (1, 2, 3)]
-    part = [_contract(i, part_market, old_names=True) for i in (1, 2)]
-    returned = F.col("l_returnflag") == "R"
-    line_contracts = (
-        F.when(returned & (F.col("l_quantity") < 10), F.lit(None))
-        .when(returned & (F.col("l_quantity") < 20), F.array_remove(F.array(line[0]), line[0]))
-        .when(returned, F.array(line[0]))
-        .when(F.col("l_returnflag") == "A", F.array(*line[:2]))
-        .otherwise(F.array(*line))
+    flag, quantity = F.col("l_returnflag"), F.col("l_quantity")
+    count = (
+        F.when(flag == "N", 3)
+        .when(flag == "A", 2)
+        .when(quantity < 10, F.lit(None))
+        .when(quantity < 20, 0)
+        .otherwise(1)
     )
-    status = F.when(F.col("l_tax") == 0, F.lit(None)).when(F.col("l_linestatus") == "O", "Open").otherwise("Closed")
-    return table(spark, sf_dir, "lineitem").select(
+    status = F.when(F.col("l_tax") != 0, F.col("line_status"))
+    return _quoted_lines(spark, sf_dir).select(
         F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("extracted_at"),
         F.concat(F.lit("feed/"), F.col("l_suppkey").cast("string")).alias("source"),
         F.struct(
@@ -212,7 +246,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.concat("l_returnflag", "l_linestatus").alias("shortName"),
                     F.concat(F.lit("/lines/"), line_market.cast("string")).alias("url"),
                     status.alias("status"),
-                    line_contracts.alias("contracts"),
+                    _contracts(count, line_market, old_names=False).alias("contracts"),
                 ),
                 F.struct(
                     part_market.alias("id"),
@@ -220,7 +254,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("l_returnflag").alias("shortName"),
                     F.concat(F.lit("/parts/"), F.col("l_partkey").cast("string")).alias("url"),
                     F.lit("Open").alias("status"),
-                    F.array(*part).alias("contracts"),
+                    _contracts(F.lit(2), part_market, old_names=True).alias("contracts"),
                 ),
             ).alias("markets")
         ).alias("data"),

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import ColumnLike, as_column, bucket_label, keyword_label, rounded
+from tidemark.session import stored
 
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
@@ -16,6 +17,20 @@ def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
+def top_k_joined(child: DataFrame, parent: DataFrame, key: str, order: Sequence[Column], k: int) -> DataFrame:
+    """The first ``k`` rows of ``child`` joined to ``parent``, ordered by columns of the child.
+
+    Joins the first ``k`` child rows only: ``k`` rows are broadcast whatever the size of the
+    tables, and neither is shuffled. When some of them have no parent and fewer than ``k`` rows
+    come out, later child rows count too, and the tables are joined in full.
+    """
+    candidates = F.broadcast(top_k(child, order, k))
+    found = stored(parent.join(candidates, key), "top")
+    if found.count() < k:
+        return top_k(child.join(parent, key), order, k)
+    return top_k(found, order, k)
+
+
 def share_of_total(
     df: DataFrame,
     keys: Sequence[str],

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import ColumnLike, as_column, descending
+from tidemark.operators.skew import slot_when
 
 
 def latest_per_key(
@@ -38,10 +39,10 @@ def keep_latest_rows(df: DataFrame, key: str, ts: str, has_null_keys: bool | Non
     if has_null_keys is None:
         has_null_keys = not df.filter(k.isNull()).select(key).isEmpty()
     if not has_null_keys:
-        undated = df.filter(t.isNull())
-        window = Window.partitionBy(k).orderBy(t.desc())
-        newest = df.filter(t.isNotNull()).withColumn("_rank", F.rank().over(window)).filter("_rank = 1")
-        return newest.drop("_rank").unionByName(undated)
+        # rows without ts form windows of their own, where all of them rank first
+        slotted = df.withColumn("_slot", slot_when(df, t.isNull()))
+        window = Window.partitionBy(k, F.col("_slot")).orderBy(t.desc_nulls_last())
+        return slotted.withColumn("_rank", F.rank().over(window)).filter("_rank = 1").drop("_rank", "_slot")
 
     maxima = df.groupBy(key).agg(F.max(ts).alias("_max"))
     null_max = df.filter(k.isNull()).agg(F.max(ts).alias("_max")).scalar()
@@ -62,8 +63,3 @@ def keep_latest_rows(df: DataFrame, key: str, ts: str, has_null_keys: bool | Non
         .unionByName(at_maximum.select(*df.columns))
         .unionByName(unkeyed.filter(undated_groups > 0))
     )
-
-
-def rank_within(df: DataFrame, keys: Sequence[ColumnLike], order: Sequence[Column], alias: str) -> DataFrame:
-    """Row number per key, newest or largest first."""
-    return df.withColumn(alias, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))

@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.columns import days_before, moment
+from tidemark.operators.skew import slot_when
 
 BROADCAST_LIMIT = 32 * 1024 * 1024
-NULL_SLOTS = 1024
 _FIXED_WIDTH = 16
 
 
@@ -25,20 +25,13 @@ class DuplicateSourceKeys(ValueError):
     """The merge source holds a key more than once."""
 
 
-def _hashable(df: DataFrame) -> list[str]:
-    nested = (T.MapType, T.VariantType, T.StructType, T.ArrayType)
-    return [f.name for f in df.schema.fields if not isinstance(f.dataType, nested)]
-
-
 def null_slot(df: DataFrame, keys: Sequence[str]) -> Column:
     """0 for complete keys; a spread number for rows with a NULL key.
 
     NULL keys match nothing, yet a shuffled join would send all of them to one task.
     Joining on the slot too leaves the matches as they are and spreads those rows.
     """
-    incomplete = ~reduce(and_, [F.col(k).isNotNull() for k in keys])
-    spread = F.pmod(F.xxhash64(*_hashable(df)), F.lit(NULL_SLOTS))
-    return F.when(incomplete, spread + 1).otherwise(F.lit(0).cast("bigint"))
+    return slot_when(df, ~reduce(and_, [F.col(k).isNotNull() for k in keys]))
 
 
 def _row_bytes(df: DataFrame) -> Column:

@@ -7,7 +7,7 @@ name is made complete with an id, so equal values always give the same rows.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -35,6 +35,7 @@ from tidemark.operators.aggregate import (
     share_of_total,
     table_counts,
     top_k,
+    top_k_joined,
 )
 
 # fixed values: price buckets (upper edges and labels)
@@ -66,9 +67,13 @@ CATEGORY_RULES = {
 PRICE = "last_trade_price"
 
 
-def _with_market(contracts: DataFrame, markets: DataFrame, *market_columns: str) -> DataFrame:
-    """Contracts with columns of their market. AQE picks broadcast or a skew-split sort-merge join."""
-    return contracts.join(markets.select("market_id", *market_columns), "market_id")
+def _with_market(contracts: DataFrame, markets: DataFrame) -> DataFrame:
+    """Contracts with the name of their market. AQE picks broadcast or a skew-split sort-merge join."""
+    return contracts.join(markets.select("market_id", "market_name"), "market_id")
+
+
+def _top_with_market(contracts: DataFrame, markets: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
+    return top_k_joined(contracts, markets.select("market_id", "market_name"), "market_id", order, k)
 
 
 def _priced(contracts: DataFrame) -> DataFrame:
@@ -97,7 +102,7 @@ def top_volume_markets(markets: DataFrame, k: int = 20) -> DataFrame:
 
 def contract_price_movements(markets: DataFrame, contracts: DataFrame) -> DataFrame:
     open_contracts = contracts.filter(F.col("contract_status") == "Open")
-    return _with_market(open_contracts, markets, "market_name").select(
+    return _with_market(open_contracts, markets).select(
         "contract_id",
         "contract_name",
         "market_name",
@@ -157,9 +162,7 @@ def spread_opportunities(
     if positive_only:
         quoted = quoted.filter(sell > buy)
     spread = quoted.withColumn("spread", difference(sell, buy))
-    ranked = top_k(
-        _with_market(spread, markets, "market_name"), [*descending("spread"), *ascending("contract_id")], k
-    )
+    ranked = _top_with_market(spread, markets, [*descending("spread"), *ascending("contract_id")], k)
     return ranked.select(
         "contract_name",
         "market_name",
@@ -173,15 +176,15 @@ def spread_opportunities(
 
 
 def expensive_contracts_with_market(markets: DataFrame, contracts: DataFrame, k: int = 10) -> DataFrame:
-    joined = _with_market(_priced(contracts), markets, "market_name")
-    return top_k(joined, [*descending(PRICE), *ascending("contract_id")], k).select(
+    order = [*descending(PRICE), *ascending("contract_id")]
+    return _top_with_market(_priced(contracts), markets, order, k).select(
         "contract_name", "market_name", PRICE, "contract_status", "best_buy_yes_cost", "best_sell_yes_cost"
     )
 
 
 def cheapest_contracts_with_market(markets: DataFrame, contracts: DataFrame, k: int = 10) -> DataFrame:
-    joined = _with_market(contracts.filter(F.col(PRICE) > 0), markets, "market_name")
-    return top_k(joined, ascending(PRICE, "contract_id"), k).select(
+    order = ascending(PRICE, "contract_id")
+    return _top_with_market(contracts.filter(F.col(PRICE) > 0), markets, order, k).select(
         "contract_name", "market_name", PRICE, "contract_status"
     )
 
@@ -195,9 +198,8 @@ def volatile_markets(
     moved = metrics.filter(F.col("price_volatility").isNotNull())
     if positive_only:
         moved = moved.filter(F.col("price_volatility") > 0)
-    joined = moved.join(markets.select("market_id", "market_name"), "market_id")
     order = [*descending("price_volatility"), *ascending("market_id", "metric_date")]
-    return top_k(joined, order, k).select(
+    return _top_with_market(moved, markets, order, k).select(
         "market_name",
         "price_volatility",
         "avg_trade_price",
