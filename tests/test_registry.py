@@ -27,7 +27,7 @@ IDS = (
     + [f"v{i}" for i in range(1, 4)]
     + [f"q{i:02d}" for i in range(1, 31)]
     + [f"dq{i}" for i in range(1, 11)]
-    + ["x1", "x2", "x4", "x5", "x6", "x7", "x8", "x9", "x10", "x11", "x12", "x13"]
+    + [f"x{i}" for i in range(1, 14)]
 )
 
 

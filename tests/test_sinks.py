@@ -75,6 +75,28 @@ def test_partition_upsert_leaves_other_partitions_alone(spark, tmp_path, rows):
         tables.upsert_partitions(spark, path, frame([]), ["k"], ["v"], "d")
 
 
+def test_null_partition_survives_an_upsert(spark, tmp_path, rows):
+    path = str(tmp_path / "daily")
+    frame = lambda data: spark.createDataFrame(data, "d STRING, k BIGINT, v STRING")
+    tables.upsert_partitions(spark, path, frame([("x", 1, "a"), (None, 1, "a")]), ["d", "k"], ["v"], "d")
+    for limit in (1000, 0):
+        tables.PARTITION_LIST = limit
+        tables.upsert_partitions(spark, path, frame([("x", 1, f"b{limit}"), (None, 2, "n")]), ["d", "k"], ["v"], "d")
+    tables.PARTITION_LIST = 1000
+    got = rows(spark.read.parquet(path), "d", "k", "v")
+    assert got == sorted([("x", 1, "b0"), (None, 1, "a"), (None, 2, "n"), (None, 2, "n")], key=repr)
+
+
+def test_old_images_are_removed(spark, tmp_path):
+    base = str(tmp_path / "t")
+    for n in range(4):
+        tables.publish(spark.range(n), base)
+    assert len(tables.prune_images(spark, base, keep=2)) == 2
+    assert tables.read_image(spark, base).count() == 3
+    with pytest.raises(ValueError):
+        tables.prune_images(spark, base, keep=0)
+
+
 def test_quality_levels(spark):
     empty = spark.range(0)
     report = quality.quality_report([quality.not_empty(empty, "has rows"), quality.null_keys(empty, ["id"], "keys")])

@@ -592,6 +592,18 @@ def _(spark, sf):
     return flatten.flatten_struct(nested)
 
 
+@query(
+    "x3_insert_absent_customers",
+    """SELECT c_custkey, COALESCE(n, 0) AS orders FROM customer LEFT JOIN (
+  SELECT o_custkey, COUNT(*) AS n FROM orders GROUP BY 1) ON o_custkey = c_custkey""",
+)
+def _(spark, sf):
+    """Order counts per customer, completed by customers without orders."""
+    counted = lens.table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("orders"))
+    everyone = lens.table(spark, sf, "customer").select("c_custkey", F.lit(0).cast("bigint").alias("orders"))
+    return merge.insert_if_absent(counted, everyone, ["c_custkey"])
+
+
 @query(
     "x8_share_by_two_keys",
     f"""SELECT l_returnflag, l_linestatus, COUNT(*) AS lines,

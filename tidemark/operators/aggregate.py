@@ -37,12 +37,12 @@ def share_of_total(
     count_alias: str,
     share_alias: str,
     extra: Sequence[Column] = (),
-    few_groups: bool = True,
+    few_groups: bool = False,
 ) -> DataFrame:
     """Rows per group and their share of all rows in percent, rounded to 2 digits.
 
-    ``few_groups`` (a status, a fixed set of buckets) totals with a window over the grouped
-    rows. Otherwise the total is a scalar subquery, so that many groups never meet in one task.
+    The total is a scalar subquery over the grouped rows, so many groups never meet in one task.
+    ``few_groups`` (a status, a fixed set of buckets) totals with a window instead.
     """
     grouped = df.groupBy(*keys).agg(F.count("*").alias(count_alias), *extra)
     if few_groups:
@@ -64,7 +64,7 @@ def histogram(
 ) -> DataFrame:
     """Counts and shares per half-open bucket over the non-NULL values."""
     labelled = df.filter(F.col(column).isNotNull()).select(bucket_label(column, edges, labels).alias(bucket_alias))
-    return share_of_total(labelled, [bucket_alias], count_alias, share_alias)
+    return share_of_total(labelled, [bucket_alias], count_alias, share_alias, few_groups=True)
 
 
 def keyword_category(

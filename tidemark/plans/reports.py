@@ -260,7 +260,7 @@ def contract_status_breakdown(contracts: DataFrame, with_share: bool = False) ->
         rounded(F.max(PRICE), 4).alias("max_price"),
     )
     order = [*descending("num_contracts"), *ascending("contract_status")]
-    shares = share_of_total(contracts, ["contract_status"], "num_contracts", "percentage", stats)
+    shares = share_of_total(contracts, ["contract_status"], "num_contracts", "percentage", stats, few_groups=True)
     return (shares if with_share else shares.drop("percentage")).orderBy(*order)
 
 
@@ -276,14 +276,13 @@ def contracts_per_market(markets: DataFrame, k: int = 20) -> DataFrame:
         ["contracts_per_market"],
         "num_markets",
         "percentage_of_markets",
-        few_groups=False,
     )
     return top_k(shares, descending("contracts_per_market"), k)
 
 
 def market_status_distribution(markets: DataFrame) -> DataFrame:
     slots = F.sum("total_contracts").cast("bigint").alias("total_contracts")
-    return share_of_total(markets, ["market_status"], "num_markets", "percentage", (slots,)).orderBy(
+    return share_of_total(markets, ["market_status"], "num_markets", "percentage", (slots,), few_groups=True).orderBy(
         *descending("num_markets"), *ascending("market_status")
     )
 

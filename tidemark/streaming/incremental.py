@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.flatten import flatten_snapshots
-from tidemark.operators.latest import latest_per_key
 from tidemark.plans import model
-from tidemark.sinks.tables import upsert_table
+from tidemark.sinks.tables import prune_images, upsert_table
 from tidemark.sources.snapshots import JSON_FILES, SNAPSHOT_SCHEMA
 
 
@@ -63,6 +62,7 @@ def summary_upserter(base: str) -> Callable[[DataFrame, int], None]:
             newer_by="last_updated",
             check_unique=False,
         )
+        prune_images(spark, base)
 
     return upsert
 
@@ -75,8 +75,3 @@ def upsert_summary(documents: DataFrame, base: str, checkpoint: str) -> Streamin
         .trigger(availableNow=True)
         .start()
     )
-
-
-def newest_from_log(raw: DataFrame) -> DataFrame:
-    """Newest version per (market, snapshot) of an appended raw table that may hold a file twice."""
-    return latest_per_key(raw, ["market_id", "extraction_timestamp"], ["extraction_timestamp"], ["source_file"])
