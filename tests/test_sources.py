@@ -4,6 +4,7 @@ from datetime import date
 
 import pytest
 
+from tidemark.operators import quality
 from tidemark.plans import refresh
 from tidemark.sources import feeds, snapshots, tables
 
@@ -99,3 +100,12 @@ def test_refresh_from_landing(spark, landing, tmp_path, rows):
     assert rows(again.market_summary, "market_id") == [(1,), (2,), (3,), (4,)]
     assert first == again.daily_metrics.count() == 4
     assert again.checks.filter("NOT passed").count() == 0
+    assert again.loaded == {"rows_loaded": 4, "errors_seen": 1}
+    assert rows(again.quarantined, "_corrupt_record") == [('{"bad',)]
+
+
+def test_refresh_of_nothing_fails(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "bad.json").write_text("{")
+    with pytest.raises(quality.QualityError, match="staging"):
+        refresh.run(spark, str(tmp_path / "in"), str(tmp_path / "w"))

@@ -52,3 +52,12 @@ def test_stream_equals_batch_and_late_files_do_not_win(spark, landing, tmp_path,
     batch = model.market_summary(flatten_snapshots(read_documents(spark, str(landing))))
     assert rows(read_image(spark, base), *model.SUMMARY_INSERTS) == rows(batch, *model.SUMMARY_INSERTS)
     assert rows(batch, "market_name") == [("b-1",), ("b-2",), ("c-3",)]
+
+
+def test_unreadable_files_are_quarantined_once(spark, landing, tmp_path, rows):
+    target, checkpoint = str(tmp_path / "bad"), str(tmp_path / "cp")
+    write(landing, "a", 1, 1)
+    (landing / "bad.json").write_text('{"cut')
+    for _ in range(2):
+        incremental.append_quarantine(incremental.document_stream(spark, str(landing)), target, checkpoint).awaitTermination()
+    assert rows(spark.read.parquet(target), "_corrupt_record") == [('{"cut',)]

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.operators.flatten import flatten_snapshots
 from tidemark.plans import model
 from tidemark.sinks.tables import prune_images, upsert_table
-from tidemark.sources.snapshots import JSON_FILES, SNAPSHOT_SCHEMA
+from tidemark.sources.snapshots import CORRUPT, JSON_FILES, SNAPSHOT_SCHEMA, is_unreadable
 
 
 def document_stream(
@@ -19,7 +19,8 @@ def document_stream(
 ) -> DataFrame:
     """Snapshot documents as a stream over landed files."""
     reader = (
-        spark.readStream.schema(SNAPSHOT_SCHEMA)
+        spark.readStream.schema(f"{SNAPSHOT_SCHEMA}, {CORRUPT} STRING")
+        .option("columnNameOfCorruptRecord", CORRUPT)
         .option("multiLine", one_per_file)
         .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", True)
@@ -29,11 +30,9 @@ def document_stream(
     return reader.json(path).withColumn("source_file", F.col("_metadata.file_path"))
 
 
-def append_raw(documents: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    """Append flattened snapshots to a Parquet table, every file exactly once. Ends when caught up."""
+def _append(rows: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
     return (
-        flatten_snapshots(documents)
-        .writeStream.format("parquet")
+        rows.writeStream.format("parquet")
         .option("path", target)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -42,6 +41,17 @@ def append_raw(documents: DataFrame, target: str, checkpoint: str) -> StreamingQ
     )
 
 
+def append_raw(documents: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
+    """Append flattened snapshots to a Parquet table, every file exactly once. Ends when caught up."""
+    return _append(flatten_snapshots(documents), target, checkpoint)
+
+
+def append_quarantine(documents: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
+    """Append unreadable documents with their text and file. Ends when caught up."""
+    unreadable = documents.filter(is_unreadable(documents))
+    return _append(unreadable.select("source_file", CORRUPT), target, checkpoint)
+
+
 def summary_upserter(base: str) -> Callable[[DataFrame, int], None]:
     """Batch function that merges the newest snapshot per market into a published table.
 
