@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.bindings import lens
-from tidemark.operators import aggregate, latest, merge
+from tidemark.operators import aggregate, joins, latest, merge
 from tidemark.plans import model, reports
 from tidemark.sinks import files
 from tidemark.sources import snapshots
@@ -23,9 +23,44 @@ def test_latest_prunes_before_the_exchange(spark):
     assert text.count("WindowGroupLimit") == 2 and text.count("Exchange") == 1
 
 
-def test_keep_latest_prunes_before_the_exchange(spark):
+def test_keep_latest_aggregates_before_its_join(spark):
     text = plan(latest.keep_latest_rows(lens.table(spark, SF, "events"), "user_id", "ts", has_null_keys=False))
-    assert text.count("WindowGroupLimit") == 2 and "Join" not in text
+    assert "Window" not in text and "partial_max" in text and text.count("Join") == 1
+
+
+def test_hot_parent_join_can_be_split(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        parents = lens.markets(spark, SF).select("market_id")
+        children = lens.contract_versions(lens.table(spark, SF, "lineitem")).select("market_id", "contract_id")
+        text = plan(joins.with_children(parents, children, "market_id"))
+        assert "Inner" in text and "LeftAnti" in text and "LeftOuter" not in text
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_copies_of_the_newest_pair_are_split_over_tasks(spark):
+    """Two thirds of the rows are copies of one pair: AQE splits them, none is lost."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        copies = F.when(F.col("id") % 3 > 0, 0).otherwise(F.col("id"))
+        df = spark.range(0, 30_000, 1, 6).select(copies.alias("k"), (F.lit(5) - copies % 2).alias("t"), F.uuid().alias("pad"))
+        kept = latest.keep_latest_rows(df, "k", "t", has_null_keys=False)
+        assert len(kept.collect()) == 30_000
+        assert "skew=true" in plan(kept)
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 @pytest.mark.parametrize("has_null_keys", [True, False])

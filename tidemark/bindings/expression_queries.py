@@ -14,6 +14,7 @@ from tidemark.bindings.registry import big, date_text, dbl, query, rnd, ts
 from tidemark.functions import columns as c
 from tidemark.operators import aggregate
 from tidemark.operators.flatten import flatten_contracts
+from tidemark.operators.joins import with_children, with_match, without_match
 from tidemark.operators.latest import keep_latest_rows, latest_per_key
 from tidemark.operators.merge import mark_stale
 from tidemark.operators.quality import issue_counts
@@ -190,7 +191,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     details = C(spark, sf).select("market_id", "contract_id", "contract_name")
-    return M(spark, sf).select("market_id").join(details, "market_id", "left")
+    return with_children(M(spark, sf).select("market_id"), details, "market_id")
 
 
 @query(
@@ -211,7 +212,7 @@ def _(spark, sf):
 @query("j5_anti_join", "SELECT o_orderkey FROM orders ANTI JOIN lineitem ON l_orderkey = o_orderkey")
 def _(spark, sf):
     lines = T(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
-    return T(spark, sf, "orders").select("o_orderkey").join(lines, "o_orderkey", "left_anti")
+    return without_match(T(spark, sf, "orders").select("o_orderkey"), lines, ["o_orderkey"])
 
 
 @query(
@@ -552,7 +553,7 @@ AND (o_orderstatus = 'O' OR o_totalprice >= 200000)""",
 def _(spark, sf):
     builders = T(spark, sf, "customer").filter(F.col("c_mktsegment") == "BUILDING").select(F.col("c_custkey").alias("o_custkey"))
     wanted = (F.col("o_orderstatus") == "O") | (F.col("o_totalprice") >= 200000)
-    return T(spark, sf, "orders").filter(wanted).join(builders, "o_custkey", "left_semi").select("o_orderkey")
+    return T(spark, sf, "orders").filter(wanted).transform(with_match, builders, ["o_custkey"]).select("o_orderkey")
 
 
 @query("c15_nested_path", DOCUMENTS_SQL + "SELECT market_name, COUNT(*) AS n FROM raw GROUP BY market_name")

@@ -39,10 +39,13 @@ def keep_latest_rows(df: DataFrame, key: str, ts: str, has_null_keys: bool | Non
     if has_null_keys is None:
         has_null_keys = not df.filter(k.isNull()).select(key).isEmpty()
     if not has_null_keys:
-        # rows without ts form windows of their own, where all of them rank first
+        # joined on (key, ts), not ranked in a window: copies of one newest pair may be a third
+        # of all rows, and a join splits them over tasks while a window would not
+        newest = df.groupBy(k.alias("_k")).agg(F.max(ts).alias("_t")).withColumn("_newest", F.lit(True))
         slotted = df.withColumn("_slot", slot_when(df, t.isNull()))
-        window = Window.partitionBy(k, F.col("_slot")).orderBy(t.desc_nulls_last())
-        return slotted.withColumn("_rank", F.rank().over(window)).filter("_rank = 1").drop("_rank", "_slot")
+        on = (k == F.col("_k")) & (t == F.col("_t")) & (F.col("_slot") == F.col("_zero"))
+        joined = slotted.join(newest.withColumn("_zero", F.lit(0).cast("bigint")), on, "left")
+        return joined.filter(t.isNull() | F.col("_newest")).select(*df.columns)
 
     maxima = df.groupBy(key).agg(F.max(ts).alias("_max"))
     null_max = df.filter(k.isNull()).agg(F.max(ts).alias("_max")).scalar()

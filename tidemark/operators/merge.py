@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.columns import days_before, moment
+from tidemark.operators.joins import without_match
 from tidemark.operators.skew import slot_when
 
 BROADCAST_LIMIT = 32 * 1024 * 1024
@@ -150,7 +151,7 @@ def _merge_small(target, source, keys, update_columns, insert_columns, newer_by,
 
     source_keys = F.broadcast(source.select(*keys))
     matched = target.select(*keys).join(source_keys, keys, "left_semi")
-    new_rows = source.join(matched, keys, "left_anti").select(
+    new_rows = without_match(source, matched, keys).select(
         [
             (F.col(c) if c in insert_columns else F.lit(None)).cast(types[c]).alias(c)
             for c in target.columns
@@ -174,7 +175,7 @@ def insert_if_absent(target: DataFrame, source: DataFrame, keys: Sequence[str],
     """Target plus the source rows whose key it lacks."""
     if check_unique:
         require_unique(source, keys)
-    new_rows = source.join(target.select(*keys), list(keys), "left_anti")
+    new_rows = without_match(source, target, list(keys))
     return target.unionByName(new_rows, allowMissingColumns=True)
 
 
