@@ -15,6 +15,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def plan(df) -> str:
+    df.sparkSession.conf.set("spark.sql.maxMetadataStringLength", "2000")
     return df._jdf.queryExecution().executedPlan().toString()
 
 
@@ -123,6 +124,12 @@ def test_lake_days_are_pruned(spark, tmp_path):
     assert metric.get().value() <= 8
 
 
+def test_counting_contracts_reads_one_attribute(spark, tmp_path):
+    lens.raw(spark, SF).write.parquet(str(tmp_path / "raw"))
+    text = plan(model.market_summary(spark.read.parquet(str(tmp_path / "raw"))).select("market_id", "total_contracts"))
+    assert "contract_data:array<struct<id:bigint>>" in text
+
+
 def test_no_python_in_plans(spark):
     raw = lens.raw(spark, SF)
     for df in (model.market_summary(raw), model.contract_details(raw), reports.price_distribution(lens.contracts(spark, SF))):

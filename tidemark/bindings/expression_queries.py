@@ -13,7 +13,7 @@ from tidemark.bindings.lens import ALL_TABLES_SQL, DOCUMENTS_SQL, MARKETS_SQL, R
 from tidemark.bindings.registry import big, date_text, dbl, query, rnd, ts
 from tidemark.functions import columns as c
 from tidemark.operators import aggregate
-from tidemark.operators.flatten import flatten_contracts
+from tidemark.operators.flatten import array_length, flatten_contracts
 from tidemark.operators.joins import with_children, with_match, without_match
 from tidemark.operators.latest import keep_latest_rows, latest_per_key
 from tidemark.operators.merge import mark_stale
@@ -475,8 +475,9 @@ def _(spark, sf):
 
 @query("c5_array_size", WITH_RAW + f"SELECT {big('n_contracts')} AS size, COUNT(*) AS n FROM raw GROUP BY n_contracts")
 def _(spark, sf):
-    size = c.json_array_size("contract_data", False, null_is_zero=False)
-    return lens.raw(spark, sf).groupBy(size.alias("size")).agg(F.count("*").alias("n"))
+    raw = lens.raw(spark, sf)
+    size = array_length(raw, "contract_data", null_is_zero=False)
+    return raw.groupBy(size.alias("size")).agg(F.count("*").alias("n"))
 
 
 @query(

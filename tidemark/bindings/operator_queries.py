@@ -18,7 +18,7 @@ from tidemark.bindings.lens import (
     TABLES_SQL,
 )
 from tidemark.bindings.registry import big, date_text, dbl, query, rnd, ts
-from tidemark.functions.columns import json_array_size, keyword_label, percent_over, rounded
+from tidemark.functions.columns import keyword_label, percent_over, rounded
 from tidemark.operators import aggregate, flatten, latest, merge
 from tidemark.plans import model, reports
 
@@ -517,26 +517,26 @@ _RAW_OUT = f"""market_id, market_name, short_name, market_url, market_status,
        {big('COALESCE(n_contracts, 0)')} AS num_contracts, {ts('extraction_timestamp')} AS extraction_timestamp"""
 
 
-def _raw_out(raw, is_variant):
+def _raw_out(raw):
     return raw.select(
         "market_id",
         "market_name",
         "short_name",
         "market_url",
         "market_status",
-        json_array_size("contract_data", is_variant).alias("num_contracts"),
+        flatten.array_length(raw, "contract_data").alias("num_contracts"),
         "extraction_timestamp",
     )
 
 
 @query("x6_flatten_snapshots", f"WITH {RAW_SQL} SELECT {_RAW_OUT} FROM raw")
 def _(spark, sf):
-    return _raw_out(lens.raw(spark, sf), False)
+    return _raw_out(lens.raw(spark, sf))
 
 
 @query("x6b_flatten_snapshots_variant", f"WITH {RAW_SQL} SELECT {_RAW_OUT} FROM raw")
 def _(spark, sf):
-    return _raw_out(lens.raw_variant(spark, sf), True)
+    return _raw_out(lens.raw_variant(spark, sf))
 
 
 @query("x6c_flatten_contracts", f"WITH {RAW_SQL}, {RAW_CONTRACTS_SQL} SELECT {DETAILS_OUT} FROM raw_contracts")

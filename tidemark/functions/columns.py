@@ -128,11 +128,3 @@ def variant_path(value: ColumnLike, path: str, type_name: str, strict: bool = Tr
     """Typed read at a path of a VARIANT; ``strict=False`` turns bad values into NULL."""
     read = F.variant_get if strict else F.try_variant_get
     return read(as_column(value), path, type_name)
-
-
-def json_array_size(value: ColumnLike, is_variant: bool, null_is_zero: bool = True) -> Column:
-    """Length of a nested array; a missing or JSON-null array counts as 0 (or NULL)."""
-    value = as_column(value)
-    size = F.array_size(F.try_variant_get(value, "$", "array<variant>") if is_variant else value)
-    size = size.cast("int")
-    return F.coalesce(size, F.lit(0)) if null_is_zero else size

@@ -51,6 +51,22 @@ def _items(array: Column, data_type: T.DataType) -> Column:
     return F.try_variant_get(array, "$", "array<variant>") if isinstance(data_type, T.VariantType) else array
 
 
+def array_length(df: DataFrame, name: str, null_is_zero: bool = True) -> Column:
+    """Length of a nested array; a missing or JSON-null array counts as 0 (or NULL).
+
+    An array of structs is measured by one of its attributes, so a Parquet scan reads that
+    attribute and not the whole array.
+    """
+    data_type, value = df.schema[name].dataType, F.col(name)
+    if isinstance(data_type, T.VariantType):
+        value = _items(value, data_type)
+    elif isinstance(data_type.elementType, T.StructType):
+        leaf = [f.name for f in data_type.elementType.fields if isinstance(f.dataType, T.AtomicType)]
+        value = F.col(f"{name}.{leaf[0]}") if leaf else value
+    size = F.array_size(value).cast("int")
+    return F.coalesce(size, F.lit(0)) if null_is_zero else size
+
+
 def flatten_snapshots(documents: DataFrame) -> DataFrame:
     """One row per (market, snapshot).
 

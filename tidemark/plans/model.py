@@ -6,10 +6,9 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tidemark.functions.columns import ColumnLike, day, json_array_size
-from tidemark.operators.flatten import flatten_contracts
+from tidemark.functions.columns import ColumnLike, day
+from tidemark.operators.flatten import array_length, flatten_contracts
 from tidemark.operators.latest import latest_per_key
 
 # fixed values: columns a merge may change; the summary keeps its volume, details keep their market
@@ -37,7 +36,6 @@ def market_summary(raw: DataFrame, null_is_zero: bool = True, tie_breakers: tupl
 
     ``total_volume`` is the constant 0: the feed has no traded volume.
     """
-    is_variant = isinstance(raw.schema["contract_data"].dataType, T.VariantType)
     # count the contracts first, so the arrays are not sorted and shuffled with the rows
     slim = raw.filter(F.col("market_id").isNotNull()).select(
         "market_id",
@@ -45,7 +43,7 @@ def market_summary(raw: DataFrame, null_is_zero: bool = True, tie_breakers: tupl
         "short_name",
         "market_url",
         "market_status",
-        json_array_size("contract_data", is_variant, null_is_zero).alias("total_contracts"),
+        array_length(raw, "contract_data", null_is_zero).alias("total_contracts"),
         F.lit("0.00").cast("decimal(18,2)").alias("total_volume"),
         F.col("extraction_timestamp").alias("last_updated"),
     )

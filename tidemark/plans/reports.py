@@ -12,7 +12,6 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.functions.columns import (
     ascending,
@@ -20,7 +19,6 @@ from tidemark.functions.columns import (
     difference,
     hours_between,
     joined_text,
-    json_array_size,
     moment,
     percent_over,
     price_change,
@@ -37,6 +35,7 @@ from tidemark.operators.aggregate import (
     top_k,
     top_k_joined,
 )
+from tidemark.operators.flatten import array_length
 
 # fixed values: price buckets (upper edges and labels)
 PRICE_EDGES = ("0.10", "0.20", "0.30", "0.40", "0.50", "0.60", "0.70", "0.80", "0.90")
@@ -381,13 +380,12 @@ def sample_rows(table: DataFrame, key: list[str], n: int) -> DataFrame:
 
 def raw_sample(raw: DataFrame, n: int = 10) -> DataFrame:
     """A few raw rows with the length of their contract array."""
-    is_variant = isinstance(raw.schema["contract_data"].dataType, T.VariantType)
     first = top_k(raw, ascending("market_id", "extraction_timestamp"), n)
     return first.select(
         "market_id",
         "market_name",
         "short_name",
         "market_status",
-        json_array_size("contract_data", is_variant).alias("num_contracts"),
+        array_length(first, "contract_data").alias("num_contracts"),
         "extraction_timestamp",
     )
