@@ -109,3 +109,27 @@ def test_refresh_of_nothing_fails(spark, tmp_path):
     (tmp_path / "in" / "bad.json").write_text("{")
     with pytest.raises(quality.QualityError, match="staging"):
         refresh.run(spark, str(tmp_path / "in"), str(tmp_path / "w"))
+
+
+def test_copy_into_counts_files_rows_and_errors(spark, tmp_path, rows):
+    stage, target = tmp_path / "stage", str(tmp_path / "t")
+    stage.mkdir()
+    (stage / "a.csv").write_text("id,name\n1,x\n2,y\n")
+    (stage / "b.csv").write_text("id,name\n3,z\nfour,w\n")
+    (stage / "skip.dat").write_text("id,name\n9,n\n")
+    place = snapshots.Location("stage", str(stage), "csv")
+    ddl = "id INT, name STRING"
+    first = snapshots.copy_into(spark, place, target, ddl, r".*\.csv$")
+    assert first == {"files_loaded": 2, "rows_loaded": 3, "errors_seen": 1}
+    assert rows(snapshots.read_copied(spark, target), "id", "name") == [(1, "x"), (2, "y"), (3, "z")]
+    again = snapshots.copy_into(spark, place, target, ddl, r".*/a\.csv$")
+    assert again == {"files_loaded": 1, "rows_loaded": 2, "errors_seen": 0}
+    assert snapshots.read_copied(spark, target).count() == 5
+    with pytest.raises(Exception):
+        snapshots.copy_into(spark, place, str(tmp_path / "u"), ddl, on_error="ABORT_STATEMENT")
+
+
+def test_copy_into_from_parquet(spark, tmp_path, rows):
+    spark.range(4).write.parquet(str(tmp_path / "p"))
+    place = snapshots.Location("p", str(tmp_path / "p"), "parquet")
+    assert snapshots.copy_into(spark, place, str(tmp_path / "t"), "id BIGINT")["rows_loaded"] == 4

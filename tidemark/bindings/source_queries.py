@@ -152,6 +152,26 @@ def _(spark, sf):
     return outcomes[0].unionByName(outcomes[1])
 
 
+@query(
+    "s04b_copy_into_table",
+    f"""SELECT event_type, COUNT(*) AS n, {dbl('SUM(CAST(value AS DECIMAL(18,4)))')} AS total, true AS counted
+FROM events GROUP BY 1""",
+)
+def _(spark, sf):
+    """CSV files appended to a table, with the counts of the load."""
+    rows = lens.table(spark, sf, "events").select("event_id", "event_type", "value")
+    path, target = fresh_path(spark, "stage"), fresh_path(spark, "copied")
+    rows.write.option("header", True).csv(path)
+    stage = snapshots.Location("events_stage", path, "csv")
+    stats = snapshots.copy_into(spark, stage, target, "event_id BIGINT, event_type STRING, value DOUBLE", r".*\.csv$")
+    copied = snapshots.read_copied(spark, target)
+    return copied.groupBy("event_type").agg(
+        F.count("*").alias("n"),
+        F.sum(F.col("value").cast("decimal(18,4)")).alias("total"),
+        F.lit(stats["rows_loaded"] > 0 and stats["errors_seen"] == 0 and stats["files_loaded"] > 0).alias("counted"),
+    )
+
+
 @query(
     "s05_load_statistics",
     f"""SELECT true AS has_files, COUNT_IF(NOT ({_BROKEN}))::BIGINT AS rows_loaded, COUNT_IF({_BROKEN})::BIGINT AS errors_seen FROM lineitem""",

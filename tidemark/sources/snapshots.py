@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from datetime import date
 
@@ -56,6 +57,12 @@ def read_files(
     return (reader.schema(schema) if schema is not None else reader).load(path)
 
 
+def _with_corrupt_text(schema: Schema) -> Schema:
+    if isinstance(schema, str):
+        return f"{schema}, {CORRUPT} STRING"
+    return T.StructType([*schema.fields]).add(CORRUPT, "string")
+
+
 def read_documents(
     spark: SparkSession,
     path: str | list[str],
@@ -74,8 +81,7 @@ def read_documents(
         raise ValueError(f"Unsupported on_error: {on_error}")
     tolerant = on_error == "CONTINUE"
     if tolerant:
-        with_text = f"{schema}, {CORRUPT} STRING"
-        schema = with_text if isinstance(schema, str) else T.StructType([*schema.fields]).add(CORRUPT, "string")
+        schema = _with_corrupt_text(schema)
     documents = (
         spark.read.schema(schema)
         .option("mode", ON_ERROR[on_error])
@@ -166,6 +172,51 @@ def land_snapshots(spark: SparkSession, path: str | list[str], target: str, **op
     return seen.get
 
 
+def copy_into(
+    spark: SparkSession,
+    location: Location,
+    target: str,
+    schema: Schema,
+    file_regex: str | None = None,
+    on_error: str = "CONTINUE",
+) -> dict[str, int]:
+    """Append files of a location to a Parquet table; returns files_loaded, rows_loaded, errors_seen.
+
+    Rows that cannot be read go to the ``unreadable=true`` part of the load. Each call writes its own
+    ``load=`` folder, and the statistics are read from there: one short column per row.
+    """
+    if on_error not in ON_ERROR:
+        raise ValueError(f"Unsupported on_error: {on_error}")
+    options, textual = {}, location.file_format.lower() in ("json", "csv")
+    if textual:
+        options = {"mode": ON_ERROR[on_error], "columnNameOfCorruptRecord": CORRUPT}
+        if on_error == "CONTINUE":
+            schema = _with_corrupt_text(schema)
+    rows = location.read(spark, schema, **options).withColumn("source_file", F.col("_metadata.file_path"))
+    if file_regex is not None:
+        rows = rows.filter(F.col("source_file").rlike(file_regex))
+    load = f"load-{uuid.uuid4().hex}"
+    (
+        rows.withColumns({"loaded_at": F.localtimestamp(), "load": F.lit(load), "unreadable": is_unreadable(rows)})
+        .write.mode("append")
+        .partitionBy("load", "unreadable")
+        .parquet(target)
+    )
+    loaded = spark.read.option("basePath", target).parquet(target).filter(F.col("load") == load)
+    facts = loaded.agg(
+        F.count_distinct("source_file").alias("files_loaded"),
+        F.count_if(F.col("unreadable").cast("string") == "false").alias("rows_loaded"),
+        F.count_if(F.col("unreadable").cast("string") == "true").alias("errors_seen"),
+    ).first()
+    return facts.asDict()
+
+
+def read_copied(spark: SparkSession, target: str) -> DataFrame:
+    """Readable rows of a table filled by ``copy_into``."""
+    rows = spark.read.parquet(target).filter(F.col("unreadable").cast("string") == "false")
+    return rows.drop("load", "unreadable", CORRUPT)
+
+
 def in_days(first: date, last: date) -> Column:
     """Partition predicate over year, month and day folders, both ends included."""
     landed = F.make_date(F.col("year"), F.col("month"), F.col("day"))
