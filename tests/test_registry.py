@@ -9,9 +9,10 @@ import pytest
 
 import __spark_entry__ as registered
 from check import compare
+from tidemark import bindings
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLE = registered.queries(), registered.oracle_sql()
+QUERIES, ORACLE = bindings.load_queries(), bindings.load_oracle()
 IDS = (
     [f"s{i:02d}" for i in range(1, 16)]
     + [f"k{i:02d}" for i in range(1, 18)]
@@ -48,6 +49,11 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
 
 
+def test_the_driver_sees_every_query():
+    assert set(QUERIES) <= set(registered.queries())
+    assert set(ORACLE) <= set(registered.oracle_sql())
+
+
 def test_entry(spark):
     assert registered.entry(spark).count() == 15
 
