@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, mixing, rules, templates
+from tidemark.llm import chat, languages, mixing, rules, secrets, simhash, suffixes, templates, warc, windows
 from tidemark.llm.common import table
-from tidemark.session import stored
+from tidemark.session import fresh_path, stored
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,6 +33,27 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and class of near duplicates of all documents."""
+    out = simhash.classes(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", simhash.hex_of(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def op3_sparse_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with passages of 50 words or more that occur elsewhere too, in whole texts."""
+    found = suffixes.spans(table(spark, sf_dir, "documents"))
+    one = lambda s: F.concat_ws(":", s["start"], s["end"])
+    return (
+        found.groupBy("doc_id")
+        .agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("s"))
+        .select(
+            "doc_id",
+            F.aggregate("s", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"]).alias("n_repeated_words"),
+            F.array_join(F.transform("s", one), ",").alias("spans"),
+        )
+    )
+
+
 def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one made of marker strings, formatted and read back."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -61,6 +82,63 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC archives to the shared folder and read back."""
+    path = fresh_path(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), path)
+    out = warc.read(spark, path)
+    # a record that does not check out fails the query instead of going missing
+    sound = F.when(F.col("error").isNotNull(), F.raise_error(F.col("error"))).otherwise(F.col("record_type"))
+    return out.select("page_id", "payload_bytes", "payload_digest", sound.alias("record_type"), "refers_to", "url")
+
+
+def op6_secret_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of all documents by patterns and a field trained on a bounded sample of lines."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = docs.select("doc_id", secrets.scan(F.col("text"), secrets.learn(docs)).alias("found"))
+    one = lambda s: F.concat_ws(":", F.get(F.array(*map(F.lit, secrets.KINDS)), s["kind"]), s["start"], s["end"])
+    base = F.filter("found", lambda s: s["kind"] < 3)
+    number = lambda kind: F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("bigint")
+    return out.select(
+        "doc_id",
+        number(0).alias("n_assign"),
+        number(1).alias("n_access"),
+        number(2).alias("n_hex"),
+        F.sha2(F.array_join(F.transform(base, one), ","), 256).alias("base_sha256"),
+        F.array_join(F.transform("found", one), ",").alias("spans"),
+        number(3).alias("n_field"),
+    )
+
+
+def op8_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with near-duplicate passages of 50 words or more, their class and the passages."""
+    found = windows.passages(table(spark, sf_dir, "documents"))
+    one = lambda s: F.concat_ws(":", s["start"], s["end"])
+    return (
+        found.groupBy("doc_id", "class_id")
+        .agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("s"))
+        .select(
+            "doc_id",
+            "class_id",
+            F.aggregate("s", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"]).alias("n_words"),
+            F.array_join(F.transform("s", one), ",").alias("spans"),
+        )
+    )
+
+
+def held_out(doc_id: str = "doc_id") -> Column:
+    """Rows that language profiles never learn from."""
+    return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(3)) == 1, F.lit(False))
+
+
+def op7_rank_order_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents by profiles of the documents that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    profiles = languages.learn(docs.where(~held_out()))
+    out = docs.select("doc_id", held_out().alias("held_out"), languages.identify(F.col("text"), profiles).alias("found"))
+    return out.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), "found.score")
+
+
 def op9_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents and benchmark items that share template windows, with the check of their slots."""
     out = templates.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -83,7 +161,13 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_golay_simhash": op2_golay_simhash,
+    "op3_sparse_suffixes": op3_sparse_suffixes,
     "op4_chat_formatting": op4_chat_formatting,
+    "op5_warc": op5_warc,
+    "op6_secret_field": op6_secret_field,
+    "op7_rank_order_languages": op7_rank_order_languages,
+    "op8_compact_windows": op8_compact_windows,
     "op9_template_decontamination": op9_template_decontamination,
     "op10_mixing": op10_mixing,
 }
