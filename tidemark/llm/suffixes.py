@@ -134,6 +134,15 @@ def _suffix_batches(least: int, anchor: int):
     return batches_of
 
 
+_PAIRS = 48
+
+
+def _agreement(words: np.ndarray) -> np.ndarray:
+    """(n, n) numbers of leading words that each two rows have in common; a zero agrees with nothing."""
+    equal = (words[:, None, :] == words[None, :, :]) & (words != 0)[:, None, :]
+    return np.where(equal.all(axis=2), words.shape[1], (~equal).argmax(axis=2))
+
+
 def longest_passages(right: np.ndarray, left: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     """(words to the left, words to the right) of each suffix's repeated passages around its place, (0, 0) for none.
 
@@ -142,8 +151,11 @@ def longest_passages(right: np.ndarray, left: np.ndarray, least: int) -> tuple[n
     """
     n, before = len(right), left.shape[1]
     far_left, far_right = np.zeros(n, np.int64), np.zeros(n, np.int64)
-    if n < 2:
-        return far_left, far_right
+    if n <= _PAIRS:
+        # few suffixes: every pair at once, from the place to the right and to the left
+        ahead, back = _agreement(right), _agreement(left)
+        good = (ahead + back >= least) & ~np.eye(n, dtype=bool)
+        return np.where(good, back, 0).max(axis=1), np.where(good, ahead, 0).max(axis=1)
     order = np.lexsort([right[:, k] for k in range(right.shape[1] - 1, -1, -1)])
     group = np.zeros(n, np.int64)  # of suffixes that agree on the words before their place so far
     for reach in range(before + 1):
@@ -237,7 +249,7 @@ def united(spans: DataFrame, keys: list[str]) -> DataFrame:
     return numbered.groupBy(*keys, "_no").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("_no")
 
 
-def text_spans(docs: DataFrame, least: int = LEAST, anchor: int = ANCHOR, largest: int = 2000) -> DataFrame:
+def text_spans(docs: DataFrame, least: int = LEAST, anchor: int = ANCHOR, largest: int = 50_000) -> DataFrame:
     """(ka, kb, start, end): repeated passages of each different text of ``docs`` (ka, kb, text)."""
     rows = docs.select("ka", "kb", "text").mapInArrow(_anchor_batches(least, anchor), "anchor long, ka long, kb long, place int")
     together = rows.repartition("anchor").sortWithinPartitions("anchor")
@@ -261,7 +273,7 @@ def text_spans(docs: DataFrame, least: int = LEAST, anchor: int = ANCHOR, larges
     return united(found.unionByName(_of_frequent(suffixes.where("is_hot"), least, anchor)), ["ka", "kb"])
 
 
-def spans(docs: DataFrame, least: int = LEAST, anchor: int = ANCHOR, largest: int = 2000) -> DataFrame:
+def spans(docs: DataFrame, least: int = LEAST, anchor: int = ANCHOR, largest: int = 50_000) -> DataFrame:
     """doc_id, start, end (words, end exclusive) of every stretch covered by repeated passages."""
     key = text_key(F.col("text"))
     keyed = docs.where("text is not null").select("doc_id", "text", key["a"].alias("ka"), key["b"].alias("kb"))
