@@ -17,18 +17,19 @@ repeated texts are learned once; other columns are ignored.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
-import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 UNDEFINED = "und"
 SIZES = (1, 2, 3)
-_WORD = regex.compile(r"\p{L}+")
+_WORD = re.compile(r"[^\W\d_]+")
 
 
 def grams_of(word: str) -> list[str]:
@@ -38,40 +39,57 @@ def grams_of(word: str) -> list[str]:
     return [g for g in grams if g != " "]
 
 
-class _Grams(dict):
-    """N-grams by word; emptied when it holds too many words."""
-
-    def __missing__(self, word: str) -> list[str]:
-        if len(self) >= 200_000:
-            self.clear()
-        grams = self[word] = grams_of(word)
-        return grams
+class Grams(dict):
+    """Numbers of the n-grams of each word; words and n-grams are forgotten when there are too many."""
 
+    def __init__(self) -> None:
+        super().__init__()
+        self.number: dict[str, int] = {}
+        self.names: list[str] = []
 
-def count_grams(text: str, known: dict[str, list[str]]) -> dict[str, int]:
-    counts: dict[str, int] = {}
-    get = counts.get
-    for word, times in Counter(_WORD.findall(text.lower())).items():
-        for gram in known[word]:
-            counts[gram] = get(gram, 0) + times
-    return counts
+    def __missing__(self, word: str) -> np.ndarray:
+        found = []
+        for gram in grams_of(word):
+            if gram not in self.number:
+                self.number[gram] = len(self.names)
+                self.names.append(gram)
+            found.append(self.number[gram])
+        numbers = self[word] = np.array(found, np.int64)
+        return numbers
 
-
-def ranked(counts: dict[str, int], size: int) -> list[str]:
-    """The ``size`` most frequent n-grams, equal counts in order of the n-gram."""
-    items = counts.items()
-    if len(counts) > size:
-        least = sorted(counts.values(), reverse=True)[size - 1]
-        items = [x for x in items if x[1] >= least]
-    return [g for g, _ in sorted(items, key=lambda x: (-x[1], x[0]))[:size]]
+    def counts(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers of n-grams, how often each occurs) of a whole text."""
+        if len(self) > 200_000 or len(self.names) > 100_000:
+            self.clear()
+            self.number, self.names = {}, []
+        words = Counter(_WORD.findall(text.lower()))
+        if not words or not any(c.isalpha() for word in words for c in word):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        grams = [self[word] for word in words]
+        times = np.repeat(np.fromiter(words.values(), np.int64, len(words)), [len(g) for g in grams])
+        totals = np.bincount(np.concatenate(grams), weights=times)
+        numbers = np.flatnonzero(totals)
+        return numbers, totals[numbers].astype(np.int64)
+
+    def ranked(self, text: str, size: int) -> list[str]:
+        """The ``size`` most frequent n-grams of a text, equal counts in order of the n-gram."""
+        numbers, counts = self.counts(text)
+        if len(counts) > size:
+            least = np.partition(counts, len(counts) - size)[len(counts) - size]
+            keep = counts >= least
+            numbers, counts = numbers[keep], counts[keep]
+        found = sorted((-n, self.names[i]) for i, n in zip(numbers.tolist(), counts.tolist(), strict=True))
+        return [gram for _, gram in found[:size]]
 
 
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known = _Grams()
+    known = Grams()
     for batch in batches:
         totals: dict[str, Counter] = {}
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            totals.setdefault(lang, Counter()).update(count_grams(text, known))
+            numbers, counts = known.counts(text)
+            names = map(known.names.__getitem__, numbers.tolist())
+            totals.setdefault(lang, Counter()).update(dict(zip(names, counts.tolist(), strict=True)))
         rows = [(lang, gram, n) for lang, counts in totals.items() for gram, n in counts.items()]
         yield pa.RecordBatch.from_pydict(
             {"lang": [r[0] for r in rows], "gram": [r[1] for r in rows], "n": pa.array([r[2] for r in rows], pa.int64())},
@@ -109,10 +127,10 @@ def distance(ranks: list[str], profile: dict[str, int], size: int) -> int:
 
 
 def identify_text(
-    text: str | None, profiles: dict[str, dict[str, int]], size: int, known: dict[str, list[str]]
+    text: str | None, profiles: dict[str, dict[str, int]], size: int, known: Grams
 ) -> tuple[str, float]:
     """(language, score). The score is how much of the largest possible distance the nearest profile saves."""
-    ranks = ranked(count_grams(text, known), size) if text else []
+    ranks = known.ranked(text, size) if text else []
     if not ranks or not profiles:
         return UNDEFINED, 0.0
     nearest, lang = min((distance(ranks, profile, size), lang) for lang, profile in profiles.items())
@@ -126,7 +144,7 @@ def identify(text: Column, profiles: dict[str, dict[str, int]]) -> Column:
 
     @F.pandas_udf("lang string, score double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        known = _Grams()
+        known = Grams()
         for texts in batches:
             yield pd.DataFrame([identify_text(t, profiles, size, known) for t in texts], columns=["lang", "score"])
 
