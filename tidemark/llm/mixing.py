@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import SPACE
+from tidemark.session import stored
 
 #: Sums of expected copies are exact: 12 digits after the point, at most 26 before it.
 _SUM = "decimal(38,12)"
@@ -107,7 +108,7 @@ def crossings(docs: DataFrame, expected: str, group: str, seed: int = 10, slots:
 def allocate(docs: DataFrame, seed: int = 10, **shares) -> DataFrame:
     """doc_id, source, size, source_size, target, copies, taken for every row of (doc_id, source, text)."""
     sized = docs.select("doc_id", "source", size_of(F.col("text")).alias("size"))
-    return _planned(sized, seed, **shares).drop("expected")
+    return _planned(stored(sized, "sizes"), seed, **shares).drop("expected")
 
 
 def _planned(sized: DataFrame, seed: int, **shares) -> DataFrame:
