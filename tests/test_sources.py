@@ -123,6 +123,8 @@ def test_copy_into_counts_files_rows_and_errors(spark, tmp_path, rows):
     assert first == {"files_loaded": 2, "rows_loaded": 3, "errors_seen": 1}
     assert rows(snapshots.read_copied(spark, target), "id", "name") == [(1, "x"), (2, "y"), (3, "z")]
     again = snapshots.copy_into(spark, place, target, ddl, r".*/a\.csv$")
+    assert again == {"files_loaded": 0, "rows_loaded": 0, "errors_seen": 0}
+    again = snapshots.copy_into(spark, place, target, ddl, r".*/a\.csv$", force=True)
     assert again == {"files_loaded": 1, "rows_loaded": 2, "errors_seen": 0}
     assert snapshots.read_copied(spark, target).count() == 5
     with pytest.raises(Exception):

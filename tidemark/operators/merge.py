@@ -10,7 +10,7 @@ from datetime import datetime
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -171,12 +171,25 @@ def merge_counts(image: DataFrame, action_column: str) -> DataFrame:
     )
 
 
-def insert_if_absent(target: DataFrame, source: DataFrame, keys: Sequence[str], check_unique: bool = True) -> DataFrame:
-    """Target plus the source rows whose key it lacks."""
+def insert_if_absent(target: DataFrame, source: DataFrame, keys: Sequence[str], check_unique: bool = False) -> DataFrame:
+    """Target plus the source rows whose key it lacks, one per key.
+
+    Of source rows with one key the first in order of all their columns is inserted; rows with a NULL key never
+    conflict and are all inserted. The result has the columns of the target; those the source
+    lacks are NULL. ``check_unique`` raises on repeated keys instead.
+    """
     if check_unique:
         require_unique(source, keys)
-    new_rows = without_match(source, target, list(keys))
-    return target.unionByName(new_rows, allowMissingColumns=True)
+    types = {f.name: f.dataType for f in target.schema.fields}
+    columns = [
+        (F.col(f"`{c}`") if c in source.columns else F.lit(None)).cast(types[c]).alias(c) for c in target.columns
+    ]
+    new_rows = without_match(source, target, list(keys)).select(*columns)
+    complete = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    sortable = [c for c in target.columns if not isinstance(types[c], (T.MapType, T.VariantType))]
+    first = Window.partitionBy(*keys, slot_when(new_rows, ~complete)).orderBy(*sortable)
+    ranked = new_rows.withColumn("_place", F.row_number().over(first)).where(~complete | (F.col("_place") == 1))
+    return target.unionByName(ranked.drop("_place"))
 
 
 def mark_stale(

@@ -63,6 +63,30 @@ def _with_corrupt_text(schema: Schema) -> Schema:
     return T.StructType([*schema.fields]).add(CORRUPT, "string")
 
 
+def _moments_as_text(schema: Schema) -> tuple[Schema, list[str]]:
+    """The schema with its TIMESTAMP_NTZ columns as text, and their names."""
+    fields = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
+    moments = [f.name for f in fields if isinstance(f.dataType, T.TimestampNTZType)]
+    if not moments:
+        return schema, moments
+    return T.StructType([T.StructField(f.name, T.StringType()) if f.name in moments else f for f in fields]), moments
+
+
+def _with_moments(documents: DataFrame, moments: list[str], tolerant: bool) -> DataFrame:
+    """Text columns as TIMESTAMP_NTZ in UTC: with or without an offset. Other text makes a document unreadable."""
+    for name in moments:
+        text = F.col(f"`{name}`")
+        local = text.try_cast("timestamp_ntz") if tolerant else text.cast("timestamp_ntz")
+        zoned = F.convert_timezone(F.current_timezone(), F.lit("UTC"), text.try_cast("timestamp").cast("timestamp_ntz"))
+        moment = F.when(F.rlike(text, F.lit(r"(?i)(Z|[+-]\d\d:?\d\d)\s*$")) & text.try_cast("timestamp").isNotNull(), zoned).otherwise(local)
+        if tolerant:
+            lost = text.isNotNull() & local.isNull() & text.try_cast("timestamp").isNull()
+            said = F.concat(F.lit(f"{name}: "), text)
+            documents = documents.withColumn(CORRUPT, F.coalesce(F.col(CORRUPT), F.when(lost, said)))
+        documents = documents.withColumn(name, moment)
+    return documents
+
+
 def read_documents(
     spark: SparkSession,
     path: str | list[str],
@@ -80,6 +104,7 @@ def read_documents(
     if on_error not in ON_ERROR:
         raise ValueError(f"Unsupported on_error: {on_error}")
     tolerant = on_error == "CONTINUE"
+    schema, moments = _moments_as_text(schema)
     if tolerant:
         schema = _with_corrupt_text(schema)
     documents = (
@@ -93,24 +118,25 @@ def read_documents(
         .withColumn("source_file", F.col("_metadata.file_path"))
         .withColumn("loaded_at", F.localtimestamp())
     )
+    documents = _with_moments(documents, moments, tolerant)
     return documents if file_regex is None else documents.filter(F.col("source_file").rlike(file_regex))
 
 
 def is_unreadable(documents: DataFrame) -> Column:
     """True for documents the reader could not parse.
 
-    The JSON source refuses to read the corrupt text alone, which column pruning would ask for
-    in a plain count. Naming a payload column in the same test keeps that column in the scan.
+    The reader reports errors of parsed fields only, and fields that no one asks for are not parsed.
+    So the test names every payload column as a whole: the same document is unreadable whatever
+    is selected, counted or summed up. The hash is computed for unreadable documents alone.
     """
     if CORRUPT not in documents.columns:
         return F.lit(False)
-    atomic = [
-        f.name
-        for f in documents.schema.fields
-        if isinstance(f.dataType, T.AtomicType) and f.name not in (CORRUPT, "source_file", "loaded_at")
+    payload = [f for f in documents.schema.fields if f.name not in (CORRUPT, "source_file", "loaded_at")]
+    plain = [
+        F.col(f"`{f.name}`").cast("string") if isinstance(f.dataType, (T.VariantType, T.MapType)) else F.col(f"`{f.name}`")
+        for f in payload
     ]
-    payload = F.coalesce(F.col(atomic[0]).cast("string"), F.lit(""))
-    return F.concat(F.col(CORRUPT), payload).isNotNull()
+    return F.col(CORRUPT).isNotNull() & (F.xxhash64(*plain) >= F.lit(-(2**63)))
 
 
 def file_statistics(documents: DataFrame) -> DataFrame:
@@ -146,7 +172,7 @@ def load_snapshots(spark: SparkSession, path: str | list[str], **options) -> Loa
     lost = ["source_file", "loaded_at", *([CORRUPT] if CORRUPT in documents.columns else [])]
     return Load(
         good=documents.filter(~bad).select(*kept),
-        quarantined=documents.filter(bad).select("extracted_at", *lost),
+        quarantined=documents.filter(bad).select(*[c for c in ("extracted_at",) if c in documents.columns], *lost),
         stats=file_statistics(documents),
     )
 
@@ -179,9 +205,11 @@ def copy_into(
     schema: Schema,
     file_regex: str | None = None,
     on_error: str = "CONTINUE",
+    force: bool = False,
 ) -> dict[str, int]:
     """Append files of a location to a Parquet table; returns files_loaded, rows_loaded, errors_seen.
 
+    Files that an earlier call has loaded are left out unless ``force`` is set.
     Rows that cannot be read go to the ``unreadable=true`` part of the load. Each call writes its own
     ``load=`` folder, and the statistics are read from there: one short column per row.
     """
@@ -195,6 +223,10 @@ def copy_into(
     rows = location.read(spark, schema, **options).withColumn("source_file", F.col("_metadata.file_path"))
     if file_regex is not None:
         rows = rows.filter(F.col("source_file").rlike(file_regex))
+    fs, root = hadoop_fs(spark, target)
+    if not force and fs.exists(root):
+        known = spark.read.parquet(target).select("source_file").distinct()
+        rows = rows.join(known, "source_file", "left_anti")
     load = f"load-{uuid.uuid4().hex}"
     (
         rows.withColumns({"loaded_at": F.localtimestamp(), "load": F.lit(load), "unreadable": is_unreadable(rows)})

@@ -43,7 +43,7 @@ def _append(rows: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
 
 def append_raw(documents: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
     """Append flattened snapshots to a Parquet table, every file exactly once. Ends when caught up."""
-    return _append(flatten_snapshots(documents), target, checkpoint)
+    return _append(flatten_snapshots(documents.filter(~is_unreadable(documents))), target, checkpoint)
 
 
 def append_quarantine(documents: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
@@ -61,7 +61,7 @@ def summary_upserter(base: str) -> Callable[[DataFrame, int], None]:
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        summary = model.market_summary(flatten_snapshots(batch))
+        summary = model.market_summary(flatten_snapshots(batch.filter(~is_unreadable(batch))))
         upsert_table(
             spark,
             base,
