@@ -39,7 +39,6 @@ _LINE = r"(?i)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?[
 KINDS = ("assign", "access", "hex", "field")
 
 _TOKEN = re.compile(r"[\w+/.-]+|[^\w\s]")
-_PLAIN = re.compile(r"[^\W\d_]+[.,]?\Z")
 OUTSIDE, BEGIN, INSIDE = 0, 1, 2
 Span = tuple[int, int, int]  # start, kind, end
 
@@ -70,25 +69,38 @@ def _slot(name: str) -> int:
     return zlib.crc32(name.encode()) % SLOTS
 
 
-def token_features(token: str) -> list[str]:
-    """What is known of one token by itself."""
+Signature = tuple[str, int, str, bool, int]
+_HEX_DIGITS = re.compile(r"[0-9a-f]+|[0-9A-F]+")
+
+
+def signature(token: str) -> Signature:
+    """Kinds of characters, length, shape, whether hexadecimal, changes between digits and others."""
+    length = min(int(math.log2(len(token)) * 2), 14)
+    if token.isalpha():  # most tokens; told apart without looking at each character
+        kind = "a" if token.islower() else "A" if token.isupper() else "Aa" if token.istitle() else "aA"
+        return kind + "u" * (not token.isascii()), length, kind, bool(_HEX_DIGITS.fullmatch(token)), 0
     kinds = "".join(
         k for k, found in (
             ("a", any("a" <= c <= "z" for c in token)),
             ("A", any("A" <= c <= "Z" for c in token)),
             ("9", any("0" <= c <= "9" for c in token)),
-            ("u", any(ord(c) > 127 for c in token)),
+            ("u", not token.isascii()),
             ("s", any(c in "+/_.-" for c in token)),
         ) if found
     )
     shape = re.sub(r"(.)\1+", r"\1+", re.sub(r"[A-Z]", "A", re.sub(r"[a-z]", "a", re.sub(r"[0-9]", "9", token))))[:8]
-    length = min(int(math.log2(len(token)) * 2), 14)
-    hexadecimal = bool(re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", token))
     turns = sum(a.isdigit() != b.isdigit() for a, b in zip(token, token[1:], strict=False))
-    out = [f"k{kinds}", f"l{length}", f"k{kinds}l{length}", f"s{shape}", f"p{token[:4].lower()}", f"h{hexadecimal}", f"t{min(turns, 6)}"]
-    if len(token) <= 12:
-        out.append(f"w{token.lower()}")
-    return out
+    return kinds, length, shape, bool(_HEX_DIGITS.fullmatch(token)), min(turns, 6)
+
+
+def _shape_features(found: Signature) -> list[str]:
+    kinds, length, shape, hexadecimal, turns = found
+    return [f"k{kinds}", f"l{length}", f"k{kinds}l{length}", f"s{shape}", f"h{hexadecimal}", f"t{turns}"]
+
+
+def token_features(token: str) -> list[str]:
+    """What is known of one token by itself."""
+    return [*_shape_features(signature(token)), f"p{token[:4].lower()}", f"w{token.lower()}"]
 
 
 def file_features(tokens: list[str]) -> list[str]:
@@ -100,15 +112,15 @@ def file_features(tokens: list[str]) -> list[str]:
 
 @dataclass
 class Field:
-    """Weights by feature slot (role by slot by label) and between labels."""
+    """Weights by feature slot and label, weights between labels, and the words and prefixes seen in training."""
 
     weights: np.ndarray
     between: np.ndarray
+    seen: frozenset[str] = frozenset()
 
-    def of_token(self, token: str) -> np.ndarray:
-        """Scores a token gives to itself and its neighbours: (roles, labels)."""
-        plain = [f for f in token_features(token)]
-        return np.stack([self.weights[[_slot(f"{role}|{f}") for f in plain]].sum(axis=0) for role in ROLES])
+    def of_features(self, names: list[str]) -> np.ndarray:
+        """Scores that features give to their token and its neighbours: (roles, labels)."""
+        return np.stack([self.weights[[_slot(f"{role}|{f}") for f in names]].sum(axis=0) for role in ROLES])
 
     def of_file(self, tokens: list[str]) -> np.ndarray:
         return self.weights[[_slot(f) for f in file_features(tokens)]].sum(axis=0)
@@ -188,7 +200,8 @@ def train(lines: list[tuple[list[str], list[int], list[str]]], rounds: int = 3,
             between -= rate * (pairs + decay * between) / np.sqrt(seen_between)
     # a span that opens with "inside" is read as one that begins there, a little less likely
     between[OUTSIDE, INSIDE] = between[OUTSIDE, BEGIN] - 2
-    return Field(weights[:SLOTS].astype(np.float32), between)
+    seen = {f for tokens, _, _ in lines for t in set(tokens) for f in token_features(t)[-2:]}
+    return Field(weights[:SLOTS].astype(np.float32), between, frozenset(seen))
 
 
 def tagged(line: str) -> tuple[list[str], list[int], list[str]]:
@@ -254,6 +267,22 @@ class Decoder:
     def _restart(self) -> None:
         self.number: dict[str, int] = {}
         self.scores = np.zeros((4096, len(ROLES), 3), np.float32)
+        self.parts: dict[object, np.ndarray] = {}
+
+    def _of_token(self, token: str) -> np.ndarray:
+        """The token's scores, from those of its shape, prefix and word; the last two only if training has seen them."""
+        found = signature(token)
+        scores = self.parts.get(found)
+        if scores is None:
+            scores = self.parts[found] = self.field.of_features(_shape_features(found))
+        lower = token.lower()
+        for name in (f"p{lower[:4]}", f"w{lower}"):
+            if name in self.field.seen:
+                more = self.parts.get(name)
+                if more is None:
+                    more = self.parts[name] = self.field.of_features([name])
+                scores = scores + more
+        return scores
 
     def _numbers(self, tokens: list[str]) -> np.ndarray:
         if len(self.number) > self.most_tokens:
@@ -262,7 +291,7 @@ class Decoder:
         for token in set(tokens).difference(number):
             if len(number) == len(self.scores):
                 self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
-            self.scores[len(number)] = self.field.of_token(token)
+            self.scores[len(number)] = self._of_token(token)
             number[token] = len(number)
         return np.fromiter(map(number.__getitem__, tokens), np.int64, len(tokens))
 

@@ -31,18 +31,19 @@ UNITS = (
     "kmh mph hz khz mhz ghz v volt volts w watt watts kw kwh j joule joules"
 ).split()
 
-_MARKS_ALONE = r"(?<![^\x20\x09-\x0D])[^\p{L}\p{N}\x20\x09-\x0D]+(?![^\x20\x09-\x0D])"
-_NAME = r"(?<=[\p{L}\p{N},;:]\x20)\p{Lu}\p{Ll}[\p{L}'’-]*"
-_NUMBER = r"(?<!\p{L})[$€£+-]?\p{Nd}+(?:[.,]\p{Nd}+)*%?(?!\p{L})"
-_UNIT = r"(?i)(?<=<num>\x20)(?:" + "|".join(sorted(UNITS, key=lambda u: (-len(u), u))) + r")(?![\p{L}\p{N}])"
+# a cheap test of the character comes before the look at what stands around it
+_NAME = r"\p{Lu}(?<=[\p{L}\p{N},;:]\x20.)\p{Ll}[\p{L}'’-]*"
+_NUMBER = r"(?=[$€£+\-\p{Nd}])(?<!\p{L})[$€£+-]?\p{Nd}+(?:[.,]\p{Nd}+)*%?(?!\p{L})"
+_UNIT = r"(?i)<num>\x20(?:" + "|".join(sorted(UNITS, key=lambda u: (-len(u), u))) + r")(?![\p{L}\p{N}])"
 # placeholders stand as single private characters while the other marks go
 _NAME_MARK, _NUMBER_MARK, _UNIT_MARK = "\ue000", "\ue001", "\ue002"
 _KEPT = _NAME_MARK + _NUMBER_MARK + _UNIT_MARK
 
 
 def _clean(text: Column) -> Column:
-    """The text without words made of marks alone and without the characters kept for placeholders."""
-    return F.regexp_replace(F.translate(F.coalesce(text, F.lit("")), _KEPT, ""), _MARKS_ALONE, " ")
+    """The text without the characters kept for placeholders."""
+    text = F.coalesce(text, F.lit(""))
+    return F.when(F.rlike(text, F.lit(f"[{_KEPT}]")), F.translate(text, _KEPT, "")).otherwise(text)
 
 
 def _split(text: Column) -> Column:
@@ -50,17 +51,17 @@ def _split(text: Column) -> Column:
 
 
 def canonical_words(text: Column) -> Column:
-    """Canonical words of a text; as many as ``slot_words`` has."""
+    """Canonical words of a text; as many as ``slot_words`` has. Words made of marks alone are in neither."""
     body = F.regexp_replace(_clean(text), _NAME, _NAME_MARK)
     body = F.regexp_replace(body, _NUMBER, _NUMBER_MARK)
-    body = F.regexp_replace(body, _UNIT.replace("<num>", _NUMBER_MARK), _UNIT_MARK)
+    body = F.regexp_replace(body, _UNIT.replace("<num>", _NUMBER_MARK), f"{_NUMBER_MARK} {_UNIT_MARK}")
     body = F.regexp_replace(F.lower(body), rf"[^\p{{L}}\p{{N}}{_KEPT}\x20\x09-\x0D]+", "")
     return _split(body)
 
 
 def slot_words(text: Column) -> Column:
     """The same words as they stand in the text, without marks and case."""
-    return _split(F.regexp_replace(F.lower(_clean(text)), r"[^\p{L}\p{N}.%\x20\x09-\x0D]+|[.%]+(?=[\x20\x09-\x0D]|$)", ""))
+    return _split(F.regexp_replace(F.lower(_clean(text)), r"[^\p{L}\p{N}.%\x20\x09-\x0D]+|[.%]+(?=[^\p{L}\p{N}\x20\x09-\x0D]*(?:[\x20\x09-\x0D]|$))", ""))
 
 
 def _is_slot(word: Column) -> Column:
