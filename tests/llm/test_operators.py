@@ -129,7 +129,9 @@ def test_languages(spark, odd, empty):
 
 
 def test_out_of_place_distance():
-    assert languages.distance(["a", "b", "c"], {"a": 0, "c": 1}, 10) == 0 + 10 + 1
+    known = languages.Profiles({"x": {"a": 0, "c": 1} | {str(k): k for k in range(2, 10)}})
+    grams = np.array([languages._number(g) for g in "abc"])
+    assert known.distance(grams, "x") == 0 + 10 + 1
 
 
 # --- secrets --------------------------------------------------------------------------------------

@@ -17,9 +17,8 @@ repeated texts are learned once; other columns are ignored.
 
 from __future__ import annotations
 
-import re
-from collections import Counter
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -28,73 +27,93 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 UNDEFINED = "und"
-SIZES = (1, 2, 3)
-_WORD = re.compile(r"[^\W\d_]+")
-
-
-def grams_of(word: str) -> list[str]:
-    """N-grams of one lower-case word with a blank at both ends."""
-    padded = f" {word} "
-    grams = [padded[i : i + n] for n in SIZES for i in range(len(padded) - n + 1)]
-    return [g for g in grams if g != " "]
-
-
-class Grams(dict):
-    """Numbers of the n-grams of each word; words and n-grams are forgotten when there are too many."""
-
-    def __init__(self) -> None:
-        super().__init__()
-        self.number: dict[str, int] = {}
-        self.names: list[str] = []
-
-    def __missing__(self, word: str) -> np.ndarray:
-        found = []
-        for gram in grams_of(word):
-            if gram not in self.number:
-                self.number[gram] = len(self.names)
-                self.names.append(gram)
-            found.append(self.number[gram])
-        numbers = self[word] = np.array(found, np.int64)
-        return numbers
-
-    def counts(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """(numbers of n-grams, how often each occurs) of a whole text."""
-        if len(self) > 200_000 or len(self.names) > 100_000:
-            self.clear()
-            self.number, self.names = {}, []
-        words = Counter(_WORD.findall(text.lower()))
-        if not words or not any(c.isalpha() for word in words for c in word):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        grams = [self[word] for word in words]
-        times = np.repeat(np.fromiter(words.values(), np.int64, len(words)), [len(g) for g in grams])
-        totals = np.bincount(np.concatenate(grams), weights=times)
-        numbers = np.flatnonzero(totals)
-        return numbers, totals[numbers].astype(np.int64)
-
-    def ranked(self, text: str, size: int) -> list[str]:
-        """The ``size`` most frequent n-grams of a text, equal counts in order of the n-gram."""
-        numbers, counts = self.counts(text)
-        if len(counts) > size:
-            least = np.partition(counts, len(counts) - size)[len(counts) - size]
-            keep = counts >= least
-            numbers, counts = numbers[keep], counts[keep]
-        found = sorted((-n, self.names[i]) for i, n in zip(numbers.tolist(), counts.tolist(), strict=True))
-        return [gram for _, gram in found[:size]]
+#: An n-gram is one number: up to three code points of 21 bits, the first one highest, so numbers sort like n-grams.
+_BITS = 21
+_BLANK = ord(" ")
+#: Characters counted at once; the counts of the parts of a longer text are added up.
+_PART = 1 << 20
+
+
+@cache
+def _kinds() -> tuple[np.ndarray, np.ndarray]:
+    """By code point: whether it belongs to a word (letters, and numerals that are no decimal digits), whether it is a letter."""
+    every = [chr(i) for i in range(0x110000)]
+    return (
+        np.array([c.isalnum() and not c.isdecimal() for c in every]),
+        np.array([c.isalpha() for c in every]),
+    )
+
+
+def _name(number: int) -> str:
+    """The n-gram of a number."""
+    points = [(number >> shift) & ((1 << _BITS) - 1) for shift in (2 * _BITS, _BITS, 0)]
+    return "".join(chr(p) for p in points if p)
+
+
+def _number(gram: str) -> int:
+    """The number of an n-gram."""
+    number = 0
+    for place in range(3):
+        number = number << _BITS | (ord(gram[place]) if place < len(gram) else 0)
+    return number
+
+
+def _grams_of(points: np.ndarray, seen: int = 0) -> np.ndarray:
+    """N-grams of code points in which a blank stands for all between words; those within the first ``seen`` are left out.
+
+    A gram may begin or end with a blank but not hold one between other characters, nor be blanks alone.
+    """
+    letter = points != _BLANK
+    points = points.astype(np.int64) << (2 * _BITS)
+    pairs = points[:-1] | points[1:] >> _BITS
+    triples = pairs[:-1] | points[2:] >> (2 * _BITS)
+    pair = max(seen - 1, 0)
+    return np.concatenate([points[seen:][letter[seen:]], pairs[pair:][(letter[:-1] | letter[1:])[pair:]], triples[letter[1:-1]]])
+
+
+def counts_of(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """(numbers of n-grams in order, how often each occurs) of a whole text; none without a letter."""
+    points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    in_word, is_letter = _kinds()
+    if not is_letter[points].any():
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    blank = np.full(1, _BLANK, np.uint32)
+    points = np.concatenate([blank, np.where(in_word[points], points, _BLANK), blank])
+    if len(points) <= _PART:
+        return np.unique(_grams_of(points), return_counts=True)
+    found = []
+    for at in range(0, len(points), _PART):
+        seen = min(at, 2)  # n-grams that begin in the part before
+        found.append(np.unique(_grams_of(points[at - seen : at + _PART], seen), return_counts=True))
+    return _summed(np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]))
+
+
+def _summed(numbers: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    numbers, place = np.unique(numbers, return_inverse=True)
+    totals = np.zeros(len(numbers), np.int64)
+    np.add.at(totals, place, counts)
+    return numbers, totals
+
+
+def ranked(text: str, size: int) -> np.ndarray:
+    """The numbers of the ``size`` most frequent n-grams of a text, equal counts in order of the n-gram."""
+    numbers, counts = counts_of(text)
+    if len(counts) > size:
+        keep = counts >= np.partition(counts, len(counts) - size)[len(counts) - size]
+        numbers, counts = numbers[keep], counts[keep]
+    return numbers[np.argsort(-counts, kind="stable")[:size]]
 
 
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known = Grams()
     for batch in batches:
-        totals: dict[str, Counter] = {}
+        found: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            numbers, counts = known.counts(text)
-            names = map(known.names.__getitem__, numbers.tolist())
-            totals.setdefault(lang, Counter()).update(dict(zip(names, counts.tolist(), strict=True)))
-        rows = [(lang, gram, n) for lang, counts in totals.items() for gram, n in counts.items()]
-        yield pa.RecordBatch.from_pydict(
-            {"lang": [r[0] for r in rows], "gram": [r[1] for r in rows], "n": pa.array([r[2] for r in rows], pa.int64())},
-            schema=pa.schema([("lang", pa.string()), ("gram", pa.string()), ("n", pa.int64())]),
-        )
+            found.setdefault(lang, []).append(counts_of(text))
+        for lang, counts in found.items():
+            numbers, totals = _summed(*(np.concatenate(x) for x in zip(*counts, strict=True)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(numbers), pa.string()), pa.array(numbers), pa.array(totals)], names=["lang", "gram", "n"]
+            )
 
 
 def learn(
@@ -110,42 +129,51 @@ def learn(
     for lang, end in ends.items():
         inside = inside & ((F.col("lang") != lang) | (F.col("h") <= end))
     sample = texts.where(inside).dropDuplicates(["lang", "h"])
-    counts = sample.select("lang", "text").mapInArrow(_count_batches, "lang string, gram string, n bigint")
+    counts = sample.select("lang", "text").mapInArrow(_count_batches, "lang string, gram bigint, n bigint")
     total = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     best = Window.partitionBy("lang").orderBy(F.col("n").desc(), "gram")
     rows = total.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= profile_size).collect()
     profiles: dict[str, dict[str, int]] = {}
     for r in rows:
-        profiles.setdefault(r["lang"], {})[r["gram"]] = r["rank"] - 1
+        profiles.setdefault(r["lang"], {})[_name(r["gram"])] = r["rank"] - 1
     return {lang: profiles[lang] for lang in sorted(profiles)}
 
 
-def distance(ranks: list[str], profile: dict[str, int], size: int) -> int:
-    """Out-of-place distance of a ranked list of n-grams from a profile."""
-    get = profile.get
-    return sum(abs(get(gram, i + size) - i) for i, gram in enumerate(ranks))
+class Profiles:
+    """Profiles as sorted numbers of n-grams with their ranks."""
 
+    def __init__(self, profiles: dict[str, dict[str, int]]) -> None:
+        self.size = max((len(p) for p in profiles.values()), default=1)
+        self.of: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+        for lang in sorted(profiles):
+            numbers = np.array([_number(gram) for gram in profiles[lang]], np.int64)
+            order = np.argsort(numbers)
+            self.of[lang] = numbers[order], np.fromiter(profiles[lang].values(), np.int64, len(numbers))[order]
 
-def identify_text(
-    text: str | None, profiles: dict[str, dict[str, int]], size: int, known: Grams
-) -> tuple[str, float]:
-    """(language, score). The score is how much of the largest possible distance the nearest profile saves."""
-    ranks = known.ranked(text, size) if text else []
-    if not ranks or not profiles:
-        return UNDEFINED, 0.0
-    nearest, lang = min((distance(ranks, profile, size), lang) for lang, profile in profiles.items())
-    return lang, 1.0 - nearest / (size * len(ranks))
+    def distance(self, grams: np.ndarray, lang: str) -> int:
+        """Out-of-place distance of ranked n-grams from the profile of a language."""
+        known, ranks = self.of[lang]
+        places = np.arange(len(grams))
+        at = np.minimum(np.searchsorted(known, grams), len(known) - 1)
+        return int(np.where(known[at] == grams, np.abs(ranks[at] - places), self.size).sum())
+
+    def identify(self, text: str | None) -> tuple[str, float]:
+        """(language, score). The score is how much of the largest possible distance the nearest profile saves."""
+        grams = ranked(text, self.size) if text else []
+        if not len(grams) or not self.of:
+            return UNDEFINED, 0.0
+        nearest, lang = min((self.distance(grams, lang), lang) for lang in self.of)
+        return lang, 1.0 - nearest / (self.size * len(grams))
 
 
 def identify(text: Column, profiles: dict[str, dict[str, int]]) -> Column:
     """Column struct<lang, score> for a text column. The profiles travel with the function: a few hundred
     n-grams per language."""
-    size = max((len(p) for p in profiles.values()), default=1)
 
     @F.pandas_udf("lang string, score double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        known = Grams()
+        known = Profiles(profiles)
         for texts in batches:
-            yield pd.DataFrame([identify_text(t, profiles, size, known) for t in texts], columns=["lang", "score"])
+            yield pd.DataFrame([known.identify(t) for t in texts], columns=["lang", "score"])
 
     return predict(text)
