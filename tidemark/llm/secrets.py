@@ -71,14 +71,16 @@ def _slot(name: str) -> int:
 
 Signature = tuple[str, int, str, bool, int]
 _HEX_DIGITS = re.compile(r"[0-9a-f]+|[0-9A-F]+")
+_LENGTHS = [0, *(min(int(math.log2(n) * 2), 14) for n in range(1, 129))]
 
 
 def signature(token: str) -> Signature:
     """Kinds of characters, length, shape, whether hexadecimal, changes between digits and others."""
-    length = min(int(math.log2(len(token)) * 2), 14)
+    length = _LENGTHS[min(len(token), 128)]
     if token.isalpha():  # most tokens; told apart without looking at each character
         kind = "a" if token.islower() else "A" if token.isupper() else "Aa" if token.istitle() else "aA"
-        return kind + "u" * (not token.isascii()), length, kind, bool(_HEX_DIGITS.fullmatch(token)), 0
+        hexadecimal = not token.strip("abcdef") or not token.strip("ABCDEF")
+        return kind if token.isascii() else kind + "u", length, kind, hexadecimal, 0
     kinds = "".join(
         k for k, found in (
             ("a", any("a" <= c <= "z" for c in token)),
@@ -265,35 +267,45 @@ class Decoder:
         self._restart()
 
     def _restart(self) -> None:
-        self.number: dict[str, int] = {}
+        self.number: dict[str, int] = {}  # row of ``scores`` by token
+        self.rows: dict[tuple[Signature, str, str], int] = {}
         self.scores = np.zeros((4096, len(ROLES), 3), np.float32)
         self.parts: dict[object, np.ndarray] = {}
 
-    def _of_token(self, token: str) -> np.ndarray:
-        """The token's scores, from those of its shape, prefix and word; the last two only if training has seen them."""
-        found = signature(token)
-        scores = self.parts.get(found)
-        if scores is None:
-            scores = self.parts[found] = self.field.of_features(_shape_features(found))
-        lower = token.lower()
-        for name in (f"p{lower[:4]}", f"w{lower}"):
-            if name in self.field.seen:
-                more = self.parts.get(name)
-                if more is None:
-                    more = self.parts[name] = self.field.of_features([name])
-                scores = scores + more
-        return scores
+    def _row(self, token: str) -> int:
+        """The row of a token's scores: those of its shape, prefix and word; the last two only if training has seen them.
+
+        Tokens that agree in these share a row.
+        """
+        found, lower, seen = signature(token), token.lower(), self.field.seen
+        prefix, word = f"p{lower[:4]}", f"w{lower}"
+        key = found, prefix if prefix in seen else "", word if word in seen else ""
+        row = self.rows.get(key)
+        if row is None:
+            scores = self._part(found, _shape_features(found))
+            for name in key[1:]:
+                if name:
+                    scores = scores + self._part(name, [name])
+            row = self.rows[key] = len(self.rows)
+            if row == len(self.scores):
+                self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
+            self.scores[row] = scores
+        return row
+
+    def _part(self, name: object, features: list[str]) -> np.ndarray:
+        found = self.parts.get(name)
+        if found is None:
+            found = self.parts[name] = self.field.of_features(features)
+        return found
 
     def _numbers(self, tokens: list[str]) -> np.ndarray:
-        if len(self.number) > self.most_tokens:
+        if len(self.rows) > self.most_tokens:
             self._restart()
-        number = self.number
-        for token in set(tokens).difference(number):
-            if len(number) == len(self.scores):
-                self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
-            self.scores[len(number)] = self._of_token(token)
-            number[token] = len(number)
-        return np.fromiter(map(number.__getitem__, tokens), np.int64, len(tokens))
+        elif len(self.number) > self.most_tokens:
+            self.number.clear()
+        for token in set(tokens).difference(self.number):
+            self.number[token] = self._row(token)
+        return np.fromiter(map(self.number.__getitem__, tokens), np.int64, len(tokens))
 
     def labels(self, tokens: list[str]) -> dict[int, int]:
         """Labels other than outside, by place."""
