@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import SPACE, let, text_key
+from tidemark.session import stored
 
 #: Units read as such behind a number.
 UNITS = (
@@ -43,7 +44,8 @@ _KEPT = _NAME_MARK + _NUMBER_MARK + _UNIT_MARK
 def _clean(text: Column) -> Column:
     """The text without the characters kept for placeholders."""
     text = F.coalesce(text, F.lit(""))
-    return F.when(F.rlike(text, F.lit(f"[{_KEPT}]")), F.translate(text, _KEPT, "")).otherwise(text)
+    reserved = [F.contains(text, F.lit(c)) for c in _KEPT]
+    return F.when(reserved[0] | reserved[1] | reserved[2], F.translate(text, _KEPT, "")).otherwise(text)
 
 
 def _split(text: Column) -> Column:
@@ -120,7 +122,8 @@ def matches(
         .groupBy("doc_id", "text_key", "item_id", "item_key", "shift")
         .agg(F.min("at").alias("first_at"), F.max("at").alias("last_at"), F.count_distinct("at").alias("n_windows"))
     )
-    return _checked(docs, items, runs, width)
+    # both the texts and their alignments are looked up below; the windows are met once
+    return _checked(docs, items, stored(runs, "alignments"), width)
 
 
 def _checked(docs: DataFrame, items: DataFrame, runs: DataFrame, width: int) -> DataFrame:
