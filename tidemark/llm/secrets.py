@@ -20,7 +20,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -70,29 +70,33 @@ def _slot(name: str) -> int:
 
 
 Signature = tuple[str, int, str, bool, int]
-_HEX_DIGITS = re.compile(r"[0-9a-f]+|[0-9A-F]+")
+_OUTLINE = str.maketrans(
+    "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "a" * 26 + "A" * 26 + "9" * 10
+)
 _LENGTHS = [0, *(min(int(math.log2(n) * 2), 14) for n in range(1, 129))]
 
 
-def signature(token: str) -> Signature:
+def outline(token: str) -> str:
+    """The token with one letter for all small letters, one for all capitals and one for all digits of ASCII."""
+    return token.translate(_OUTLINE)
+
+
+def hexadecimal(token: str) -> bool:
+    return not token.strip("0123456789abcdef") or not token.strip("0123456789ABCDEF")
+
+
+def signature(outline: str, hexadecimal: bool) -> Signature:
     """Kinds of characters, length, shape, whether hexadecimal, changes between digits and others."""
-    length = _LENGTHS[min(len(token), 128)]
-    if token.isalpha():  # most tokens; told apart without looking at each character
-        kind = "a" if token.islower() else "A" if token.isupper() else "Aa" if token.istitle() else "aA"
-        hexadecimal = not token.strip("abcdef") or not token.strip("ABCDEF")
-        return kind if token.isascii() else kind + "u", length, kind, hexadecimal, 0
-    kinds = "".join(
-        k for k, found in (
-            ("a", any("a" <= c <= "z" for c in token)),
-            ("A", any("A" <= c <= "Z" for c in token)),
-            ("9", any("0" <= c <= "9" for c in token)),
-            ("u", not token.isascii()),
-            ("s", any(c in "+/_.-" for c in token)),
-        ) if found
-    )
-    shape = re.sub(r"(.)\1+", r"\1+", re.sub(r"[A-Z]", "A", re.sub(r"[a-z]", "a", re.sub(r"[0-9]", "9", token))))[:8]
-    turns = sum(a.isdigit() != b.isdigit() for a, b in zip(token, token[1:], strict=False))
-    return kinds, length, shape, bool(_HEX_DIGITS.fullmatch(token)), min(turns, 6)
+    length = _LENGTHS[min(len(outline), 128)]
+    if outline.isalpha():
+        kind = "a" if outline.islower() else "A" if outline.isupper() else "Aa" if outline.istitle() else "aA"
+        return kind if outline.isascii() else kind + "u", length, kind, hexadecimal, 0
+    special = any(c in outline for c in "+/_.-")
+    found = ("a" in outline, "A" in outline, "9" in outline, not outline.isascii(), special)
+    kinds = "".join(k for k, there in zip("aA9us", found, strict=True) if there)
+    shape = re.sub(r"(.)\1+", r"\1+", outline)[:8]
+    turns = sum(a.isdigit() != b.isdigit() for a, b in zip(outline, outline[1:], strict=False))
+    return kinds, length, shape, hexadecimal, min(turns, 6)
 
 
 def _shape_features(found: Signature) -> list[str]:
@@ -102,7 +106,7 @@ def _shape_features(found: Signature) -> list[str]:
 
 def token_features(token: str) -> list[str]:
     """What is known of one token by itself."""
-    return [*_shape_features(signature(token)), f"p{token[:4].lower()}", f"w{token.lower()}"]
+    return [*_shape_features(signature(outline(token), hexadecimal(token))), f"p{token[:4].lower()}", f"w{token.lower()}"]
 
 
 def file_features(tokens: list[str]) -> list[str]:
@@ -120,9 +124,9 @@ class Field:
     between: np.ndarray
     seen: frozenset[str] = frozenset()
 
-    def of_features(self, names: list[str]) -> np.ndarray:
-        """Scores that features give to their token and its neighbours: (roles, labels)."""
-        return np.stack([self.weights[[_slot(f"{role}|{f}") for f in names]].sum(axis=0) for role in ROLES])
+    def of_feature(self, name: str) -> np.ndarray:
+        """Scores that a feature gives to its token and the neighbours: (roles, labels)."""
+        return self.weights[[_slot(f"{role}|{name}") for role in ROLES]]
 
     def of_file(self, tokens: list[str]) -> np.ndarray:
         return self.weights[[_slot(f) for f in file_features(tokens)]].sum(axis=0)
@@ -258,44 +262,66 @@ def viterbi(scores: np.ndarray, between: np.ndarray, bounded: tuple[bool, bool])
     return labels[::-1]
 
 
+class _Numbers(dict):
+    """Numbers by token, found for new tokens by a function."""
+
+    def __init__(self, number_of: Callable[[str], int]):
+        super().__init__()
+        self.number_of = number_of
+
+    def __missing__(self, token: str) -> int:
+        number = self[token] = self.number_of(token)
+        return number
+
+
 class Decoder:
     """Spans of a text by a field. Token scores are kept, up to a bounded number of tokens."""
 
     def __init__(self, field: Field, least_chars: int = 8, most_tokens: int = 300_000):
         self.field, self.least_chars, self.most_tokens = field, least_chars, most_tokens
         self.slack = field.slack()
+        self.prefixes = {name[1:] for name in field.seen if name[0] == "p"}
+        self.words = {name[1:] for name in field.seen if name[0] == "w"}
         self._restart()
 
     def _restart(self) -> None:
-        self.number: dict[str, int] = {}  # row of ``scores`` by token
+        self.number = _Numbers(self._row)  # row of ``scores`` by token
+        self.signatures: dict[str, tuple[Signature, Signature]] = {}  # by outline, if not hexadecimal and if so
         self.rows: dict[tuple[Signature, str, str], int] = {}
         self.scores = np.zeros((4096, len(ROLES), 3), np.float32)
-        self.parts: dict[object, np.ndarray] = {}
+        self.shapes: dict[Signature, np.ndarray] = {}
+        self.parts: dict[str, np.ndarray] = {}
 
     def _row(self, token: str) -> int:
         """The row of a token's scores: those of its shape, prefix and word; the last two only if training has seen them.
 
         Tokens that agree in these share a row.
         """
-        found, lower, seen = signature(token), token.lower(), self.field.seen
-        prefix, word = f"p{lower[:4]}", f"w{lower}"
-        key = found, prefix if prefix in seen else "", word if word in seen else ""
+        kind = token.translate(_OUTLINE)
+        both = self.signatures.get(kind)
+        if both is None:
+            both = self.signatures[kind] = signature(kind, False), signature(kind, True)
+        found, lower = both[hexadecimal(token)], token.lower()
+        prefix = lower[:4]
+        key = found, prefix if prefix in self.prefixes else "", lower if lower in self.words else ""
         row = self.rows.get(key)
         if row is None:
-            scores = self._part(found, _shape_features(found))
-            for name in key[1:]:
-                if name:
-                    scores = scores + self._part(name, [name])
+            scores = self.shapes.get(found)
+            if scores is None:
+                scores = self.shapes[found] = sum(map(self._part, _shape_features(found)))
+            for name, value in zip("pw", key[1:], strict=True):
+                if value:
+                    scores = scores + self._part(name + value)
             row = self.rows[key] = len(self.rows)
             if row == len(self.scores):
                 self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
             self.scores[row] = scores
         return row
 
-    def _part(self, name: object, features: list[str]) -> np.ndarray:
+    def _part(self, name: str) -> np.ndarray:
         found = self.parts.get(name)
         if found is None:
-            found = self.parts[name] = self.field.of_features(features)
+            found = self.parts[name] = self.field.of_feature(name)
         return found
 
     def _numbers(self, tokens: list[str]) -> np.ndarray:
@@ -303,8 +329,7 @@ class Decoder:
             self._restart()
         elif len(self.number) > self.most_tokens:
             self.number.clear()
-        for token in set(tokens).difference(self.number):
-            self.number[token] = self._row(token)
+            self.signatures.clear()
         return np.fromiter(map(self.number.__getitem__, tokens), np.int64, len(tokens))
 
     def labels(self, tokens: list[str]) -> dict[int, int]:
