@@ -237,7 +237,8 @@ def _of_frequent(suffixes: DataFrame, least: int, anchor: int) -> DataFrame:
     windows = stored(windows, "windows")
     here = F.struct("ka", "kb", "start")
     twice = windows.groupBy("window").agg(F.min(here).alias("a"), F.max(here).alias("b")).where("a <> b").select("window")
-    return windows.join(twice, "window").select("ka", "kb", "start", (F.col("start") + least).cast("int").alias("end"))
+    # stored, so that both sides of the join are plain shuffles, which can be split where a passage is frequent
+    return windows.join(stored(twice, "twice"), "window").select("ka", "kb", "start", (F.col("start") + least).cast("int").alias("end"))
 
 
 def united(spans: DataFrame, keys: list[str]) -> DataFrame:
