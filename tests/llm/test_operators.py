@@ -311,6 +311,70 @@ def test_near_duplicate_passages(spark, odd, empty):
     assert windows.passages(empty).count() == 0
 
 
+def similar_words(one, other):
+    """Words of ``one`` in a passage of 50 words that has a similar one in ``other``, every two compared."""
+    a, b = ([tuple(t[k : k + 5]) for k in range(len(t) - 4)] for t in (one, other))
+    there = [set(b[t : t + 46]) for t in range(len(b) - 45)]
+    covered = set()
+    for s in range(len(a) - 45):
+        x = set(a[s : s + 46])
+        if any(len(x & y) >= 0.8 * len(x | y) for y in there):
+            covered.update(range(s, s + 50))
+    return covered
+
+
+def test_near_duplicate_passages_are_whole(spark):
+    sizes = (51, 60, 70, 100, 150)
+    texts = []
+    for k, size in enumerate(sizes):
+        passage = words(size, 1000 + k, 10**6)
+        texts += [words(40, seed, 10**6) + passage + words(45, seed + 1, 10**6) for seed in (2000 + 4 * k, 2002 + 4 * k)]
+    # the third text shares the whole passage with the second only
+    texts.append(words(50, 3000, 10**6) + texts[9][20:190] + words(50, 3001, 10**6))
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    covered = {i: set() for i in range(len(texts))}
+    for r in windows.passages(docs).collect():
+        covered[r.doc_id].update(range(r.start, r.end))
+    for k, size in enumerate(sizes):
+        for i, j in ((2 * k, 2 * k + 1), (2 * k + 1, 2 * k)):
+            assert set(range(40, 40 + size)) <= covered[i]
+            if i < 8:
+                assert covered[i] <= similar_words(texts[i], texts[j])
+    assert set(range(20, 190)) <= covered[9] and set(range(50, 220)) <= covered[10]
+
+
+def test_links_of_a_run_are_those_of_brute_force():
+    rng = np.random.default_rng(8)
+    length, rows = 12, []
+    base = rng.integers(1, 30, 2 * length - 1).astype(np.uint32)
+    for k in range(40):
+        row = base.copy()
+        row[rng.integers(0, len(row), k % 7)] = rng.integers(1, 60, k % 7)
+        if k % 5 == 0:
+            row = np.concatenate([row[1:length], [7], row[length:]]).astype(np.uint32)[: 2 * length - 1]
+        row[: rng.integers(0, 6)] = 0
+        rows.append(row)
+    place = np.array([100 + 5 * (k % 3) for k in range(40)], np.int64) << 20
+    ka = np.array([k // 3 for k in range(40)], np.int64)
+    columns = {"content": [r.tobytes() for r in rows], "place": place, "ka": ka, "kb": ka}
+    for starts in (np.array([0, 40]), np.array([0, 18, 40])):
+        got = set()
+        for row, other, first, last, *_ in windows.run_links(columns, starts, length, 0.8):
+            got |= {(int(i), s) for i, a, b in zip(row, first, last) for s in range(a, b + 1)}
+        expected = set()
+        for i, j in ((i, j) for i in range(40) for j in range(40)):
+            near = ka[i] == ka[j] and abs(int(place[i] >> 20) - int(place[j] >> 20)) < length
+            if near or np.searchsorted(starts, i, "right") != np.searchsorted(starts, j, "right"):
+                continue
+            for s in range(length):
+                x = set(rows[i][s : s + length].tolist())
+                for t in range(length):
+                    y = set(rows[j][t : t + length].tolist())
+                    if 0 not in x | y and len(x & y) >= 0.8 * len(x | y):
+                        expected.add((i, s))
+        assert got == expected and expected
+
+
 def test_minima_are_leftmost():
     assert shingles.minima(np.array([3, 1, 1, 5, 0], np.uint64), 2).tolist() == [1, 2, 4]
 
