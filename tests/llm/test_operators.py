@@ -400,6 +400,45 @@ def test_templates(spark, odd, empty):
     assert templates.matches(odd, bench.limit(0)).count() == 0
 
 
+def found_in(spark, texts, items):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    return {(r.doc_id, r.item_id): r.consistent for r in templates.matches(docs, bench).collect()}
+
+
+def test_templates_dense_in_numbers(spark):
+    item = "A rectangle is 12 cm by 5 cm by 3 cm; find 2 sides."
+    sums = "12 + 5 = 17 8 + 4 = 12 6 + 6 = 12 9 + 2 = 11"
+    texts = [f"They say: {item} Good.", "so " + item.replace("12", "14").replace("5 ", "6 "), "see " + sums, "13 + 5 = 18 7 + 4 = 11 6 + 7 = 13 9 + 3 = 12"]
+    assert found_in(spark, texts, [(1, item), (2, sums)]) == {(0, 1): True, (1, 1): True, (2, 2): True}
+
+
+def test_templates_of_short_items(spark):
+    texts = ["We asked: What is the capital of France? Nobody knew it on that long day", "what is the capital city then", "it was 7 miles to go from here to there"]
+    items = [(1, "What is the capital of France?"), (None, "7 miles to go"), (3, "8 miles to go")]
+    assert found_in(spark, texts, items) == {(0, 1): True, (2, None): True}
+    long_item = "the old miller counted all the sacks twice before the winter came"
+    assert found_in(spark, ["Then " + long_item], [(None, long_item)]) == {(0, None): True}
+
+
+def test_template_runs_are_judged_alone(spark):
+    item = "the farmer sold 12 eggs to the baker on a market day and then later in the same week again the farmer sold 12 eggs to the baker on a market day"
+    parts = item.split()
+    parts[14:18] = ["or", "12", "or", "13"]  # the middle is edited with equal length
+    edited = " ".join(parts)
+    kept = "the farmer sold 12 eggs to the old baker on a market day when it was raining in all the towns of the valley"
+    other = kept + " and 12 eggs to the baker"
+    broken = kept.replace("12", "13") + " and 14 eggs to the baker"
+    got = found_in(spark, [edited, broken], [(1, item), (2, other)])
+    assert got[0, 1] is True and got[1, 2] is True
+
+
+def test_templates_in_other_case_and_space(spark):
+    item = "yesterday old Anna walked 5 km with Robert over 7 km of hills and then Maria ran 3 km with Anna"
+    texts = [item.lower(), item.upper(), item.replace(" ", "\n"), item.replace(" ", "  ")]
+    assert found_in(spark, texts, [(1, item)]) == {(k, 1): True for k in range(4)}
+
+
 # --- archives -------------------------------------------------------------------------------------
 
 

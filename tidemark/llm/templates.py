@@ -3,21 +3,24 @@
 A text becomes a sequence of canonical words: numbers, names (capitalised inside a sentence) and units behind
 a number turn into typed placeholders, other words lose case and marks. Windows of canonical
 words are hashed; documents and benchmark items that share a window share a template, whatever stands in the
-slots. The slots of all shared windows of a document and an item then have to agree: one value of the item
-always stands for the same value of the document. Otherwise the match is reported as inconsistent.
+slots. A second hash, in which numbers alone are placeholders, meets copies in another case. Shared windows that
+follow each other at one alignment are a run. A run counts if it holds ``min_literals`` plain words or if all its
+slots are the same in both texts; windows of numbers alone meet only where the numbers are equal.
+The slots of a run then have to agree: one value of the item always stands for the same value of the document; a run
+with a window free of slots agrees too. A match none of whose runs agrees is reported as inconsistent.
 
 The hashes of the benchmark are broadcast if there are at most ``broadcast_rows`` of them, measured
 first; beyond that the two sides are shuffled by hash. Slots are read again for matching documents only.
 
-Edge cases: NULL and empty texts have no window; a text shorter than a window is one window of its
-length, except that it must hold ``min_literals`` plain words like any other; rows are told apart by
-doc_id (NULL included) and two hashes of the text, so repeated rows give one result row; other columns
-are ignored.
+Edge cases: NULL and empty texts have no window; an item shorter than a window is one window of its
+length, which is looked for at every place of a document; rows are told apart by
+doc_id (NULL included) and two hashes of the text, so repeated rows give one result row; item_id can be NULL; other
+columns are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import SPACE, let, text_key
@@ -42,8 +45,8 @@ _KEPT = _NAME_MARK + _NUMBER_MARK + _UNIT_MARK
 
 
 def _clean(text: Column) -> Column:
-    """The text without the characters kept for placeholders."""
-    text = F.coalesce(text, F.lit(""))
+    """The text with single blanks and without the characters kept for placeholders."""
+    text = F.regexp_replace(F.coalesce(text, F.lit("")), SPACE, " ")
     reserved = [F.contains(text, F.lit(c)) for c in _KEPT]
     return F.when(reserved[0] | reserved[1] | reserved[2], F.translate(text, _KEPT, "")).otherwise(text)
 
@@ -52,11 +55,15 @@ def _split(text: Column) -> Column:
     return F.array_remove(F.split(text, SPACE), "")
 
 
-def canonical_words(text: Column) -> Column:
-    """Canonical words of a text; as many as ``slot_words`` has. Words made of marks alone are in neither."""
-    body = F.regexp_replace(_clean(text), _NAME, _NAME_MARK)
+def canonical_words(text: Column, typed: bool = True) -> Column:
+    """Canonical words of a text; as many as ``slot_words`` has. Words made of marks alone are in neither.
+
+    Without ``typed``, numbers alone become placeholders.
+    """
+    body = F.regexp_replace(_clean(text), _NAME, _NAME_MARK) if typed else _clean(text)
     body = F.regexp_replace(body, _NUMBER, _NUMBER_MARK)
-    body = F.regexp_replace(body, _UNIT.replace("<num>", _NUMBER_MARK), f"{_NUMBER_MARK} {_UNIT_MARK}")
+    if typed:
+        body = F.regexp_replace(body, _UNIT.replace("<num>", _NUMBER_MARK), f"{_NUMBER_MARK} {_UNIT_MARK}")
     body = F.regexp_replace(F.lower(body), rf"[^\p{{L}}\p{{N}}{_KEPT}\x20\x09-\x0D]+", "")
     return _split(body)
 
@@ -71,30 +78,48 @@ def _is_slot(word: Column) -> Column:
 
 
 def window_hashes(words: Column, width: int) -> Column:
-    """Hash of each window of ``width`` words by its place; one window if there are fewer words, none for none."""
-
-    def of(words: Column) -> Column:
-        last = F.size(words) - width
-        each = F.transform(words, lambda w: F.xxhash64(w))
-        return F.when(F.size(words) == 0, F.array().cast("array<bigint>")).otherwise(
-            let(
-                each,
-                lambda each: F.when(last <= 0, F.array(F.xxhash64(each))).otherwise(
-                    F.transform(
-                        F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
-                        lambda i: F.xxhash64(*[F.get(each, i + k) for k in range(width)]),
-                    )
-                ),
+    """Hash of each window of ``width`` words by its place; none if there are fewer words."""
+
+    def of(each: Column) -> Column:
+        last = F.size(each) - width
+        return F.when(last < 0, F.array().cast("array<bigint>")).otherwise(
+            F.transform(
+                F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
+                lambda i: F.xxhash64(*[F.get(each, i + k) for k in range(width)]),
             )
         )
 
-    return let(words, of)
+    return let(F.transform(words, lambda w: F.xxhash64(w)), of)
+
+
+def _keys(width: int) -> Column:
+    """(at, window, both) of each window of ``typed``, ``plain`` and ``verbatim`` words; ``both`` if typed and plain are one."""
+    numbers = F.xxhash64(*[F.xxhash64(F.lit(_NUMBER_MARK))] * width)
+
+    def of(hashes: Column) -> Column:
+        def plain(x: Column, i: Column) -> Column:
+            same = F.xxhash64(F.lit("same"), x["verbatim"])
+            window = F.when(x["plain"] == numbers, same).otherwise(x["plain"])
+            return F.struct(i.alias("at"), window.alias("window"), (x["plain"] == x["typed"]).alias("both"), F.lit(0).alias("mode"))
+
+        def typed(x: Column, i: Column) -> Column:
+            return F.when(
+                x["plain"] != x["typed"],
+                F.struct(i.alias("at"), x["typed"].alias("window"), F.lit(False).alias("both"), F.lit(1).alias("mode")),
+            )
+
+        return F.concat(F.transform(hashes, plain), F.filter(F.transform(hashes, typed), lambda x: x.isNotNull()))
+
+    of_words = [window_hashes(F.col(c), width).alias(c) for c in ("typed", "plain", "verbatim")]
+    return let(F.arrays_zip(*of_words), of)
 
 
-def _windows(items: DataFrame, width: int) -> DataFrame:
-    """Rows (key..., at, window) of a frame that has ``words``."""
-    keys = [c for c in items.columns if c != "words"]
-    return items.select(*keys, F.posexplode(window_hashes(F.col("words"), width)).alias("at", "window"))
+def _with_words(text: str) -> list[Column]:
+    return [
+        canonical_words(F.col(text)).alias("typed"),
+        canonical_words(F.col(text), typed=False).alias("plain"),
+        slot_words(F.col(text)).alias("verbatim"),
+    ]
 
 
 def matches(
@@ -104,30 +129,41 @@ def matches(
 
     ``docs`` has doc_id and text, ``benchmark`` item_id and text.
     """
-    items = benchmark.select("item_id", F.col("text").alias("item_text"), canonical_words(F.col("text")).alias("words"))
-    spread = _windows(items, width).withColumnRenamed("at", "item_at")
-    literal = F.size(F.filter(F.slice(F.col("words"), F.col("item_at") + 1, F.lit(width)), lambda w: ~_is_slot(w)))
-    spread = (
-        spread.join(items.select("item_id", "item_text", "words"), ["item_id", "item_text"])
-        .where(literal >= min_literals)
-        .select("window", "item_id", "item_at", F.xxhash64("item_text").alias("item_key"))
-        .dropDuplicates()
+    items = benchmark.select("item_id", F.col("text").alias("item_text"), *_with_words("text")).where(F.size("typed") > 0)
+    items = items.withColumn("width", F.least(F.size("typed"), F.lit(width)))
+    # the lengths of short items; documents have windows of these lengths too
+    widths = sorted({width, *(r.width for r in items.select("width").distinct().collect())})
+    key = F.array().cast("array<struct<at:int,window:bigint,both:boolean,mode:int>>")
+    for w in widths:
+        key = F.when(F.col("width") == w, _keys(w)).otherwise(key)
+    spread = items.select("item_id", F.xxhash64("item_text").alias("item_key"), "width", F.inline(key)).select(
+        "window",
+        "item_id",
+        "item_key",
+        "width",
+        F.col("at").alias("item_at"),
+        F.when(F.col("both"), F.array(F.lit(0), F.lit(1))).otherwise(F.array("mode")).alias("modes"),
     )
+    spread = spread.dropDuplicates()
     small = spread.limit(broadcast_rows + 1).count() <= broadcast_rows
-    keyed = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), canonical_words(F.col("text")).alias("words"))
-    found = _windows(keyed, width).join(F.broadcast(spread) if small else spread, "window")
-    # one row per document, item and alignment: overlapping windows of a passage share their alignment
+    keyed = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), *_with_words("text"))
+    keyed = keyed.select("doc_id", "text_key", F.inline(F.concat(*[_keys(w) for w in widths]))).select("doc_id", "text_key", "at", "window")
+    found = keyed.join(F.broadcast(spread) if small else spread, "window").withColumn("mode", F.explode("modes"))
+    # one row per run: overlapping windows of a passage share their alignment and follow each other
+    aligned = ["doc_id", "text_key", "item_id", "item_key", "width", "mode", "shift"]
+    found = found.withColumn("shift", F.col("at") - F.col("item_at"))
+    place = F.dense_rank().over(Window.partitionBy(*aligned).orderBy("at"))
     runs = (
-        found.withColumn("shift", F.col("at") - F.col("item_at"))
-        .groupBy("doc_id", "text_key", "item_id", "item_key", "shift")
-        .agg(F.min("at").alias("first_at"), F.max("at").alias("last_at"), F.count_distinct("at").alias("n_windows"))
+        found.withColumn("run", F.col("at") - place)
+        .groupBy(*aligned, "run")
+        .agg(F.min("at").alias("first_at"), F.max("at").alias("last_at"))
     )
     # both the texts and their alignments are looked up below; the windows are met once
-    return _checked(docs, items, stored(runs, "alignments"), width)
+    return _checked(docs, items, stored(runs, "alignments"), min_literals)
 
 
-def _checked(docs: DataFrame, items: DataFrame, runs: DataFrame, width: int) -> DataFrame:
-    """Adds the comparison of slots to the alignments found and sums up per document and item."""
+def _checked(docs: DataFrame, items: DataFrame, runs: DataFrame, min_literals: int) -> DataFrame:
+    """Adds the comparison of slots to the runs found and sums up per document and item."""
     hit = runs.select("doc_id", "text_key").dropDuplicates()
     texts = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), "text").withColumnRenamed("doc_id", "_id")
     texts = (
@@ -142,34 +178,49 @@ def _checked(docs: DataFrame, items: DataFrame, runs: DataFrame, width: int) ->
     bench = items.select(
         F.col("item_id").alias("_item"),
         F.xxhash64("item_text").alias("_item_key"),
-        F.col("words").alias("item_kinds"),
-        slot_words(F.col("item_text")).alias("item_words"),
+        F.array("plain", "typed").alias("kinds"),
+        F.array(*[F.transform(c, _is_slot) for c in ("plain", "typed")]).alias("is_slot"),
+        F.col("verbatim").alias("item_words"),
     ).dropDuplicates(["_item", "_item_key"])
     both = runs.join(texts, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")))
     both = both.join(bench, F.col("item_id").eqNullSafe(F.col("_item")) & (F.col("item_key") == F.col("_item_key")))
-    pairs = F.filter(
-        F.transform(
-            F.sequence(F.col("first_at"), F.col("last_at") + F.lit(width - 1)),
-            lambda p: F.when(
-                _is_slot(F.get(F.col("item_kinds"), p - F.col("shift"))),
-                F.struct(
-                    F.get(F.col("item_kinds"), p - F.col("shift")).alias("kind"),
-                    F.get(F.col("item_words"), p - F.col("shift")).alias("was"),
-                    F.get(F.col("doc_words"), p).alias("now"),
-                ),
-            ),
+    both = both.withColumn("kinds", F.get("kinds", F.col("mode"))).withColumn("is_slot", F.get("is_slot", F.col("mode")))
+    pairs = F.transform(
+        F.filter(
+            F.sequence(F.col("first_at"), F.col("last_at") + F.col("width") - 1),
+            lambda p: F.get(F.col("is_slot"), p - F.col("shift")),
+        ),
+        lambda p: F.struct(
+            F.get(F.col("kinds"), p - F.col("shift")).alias("kind"),
+            F.get(F.col("item_words"), p - F.col("shift")).alias("was"),
+            F.get(F.col("doc_words"), p).alias("now"),
         ),
-        lambda x: x.isNotNull(),
     )
 
     def agree(pairs: Column) -> Column:
         once = F.array_distinct(pairs)
         return F.size(once) == F.size(F.array_distinct(F.transform(once, lambda x: F.struct(x["kind"], x["was"]))))
 
-    judged = both.select(
-        "doc_id", "text_key", "item_id", "n_windows", "first_at", F.size(pairs).alias("slots"), let(pairs, agree).alias("agrees")
+    free = F.exists(
+        F.sequence(F.col("first_at"), F.col("last_at")),
+        lambda p: ~F.array_contains(F.slice(F.col("is_slot"), p - F.col("shift") + 1, F.col("width")), True),
+    )
+    judged = both.withColumn("pairs", pairs).select(
+        *["doc_id", "text_key", "item_id", "item_key", "width", "mode", "shift", "first_at"],
+        (F.col("last_at") - F.col("first_at") + 1).alias("windows"),
+        F.size("pairs").alias("slots"),
+        (F.col("last_at") - F.col("first_at") + F.col("width") - F.size("pairs")).alias("literals"),
+        F.forall("pairs", lambda x: x["was"].eqNullSafe(x["now"])).alias("verbatim"),
+        (let(F.col("pairs"), agree) | free).alias("agrees"),
+    )
+    counted = judged.where((F.col("literals") >= min_literals) | F.col("verbatim"))
+    aligned = counted.groupBy("doc_id", "text_key", "item_id", "item_key", "width", "mode", "shift").agg(
+        F.sum("windows").alias("n_windows"),
+        F.min("first_at").alias("first_at"),
+        F.sum("slots").alias("slots"),
+        F.bool_or("agrees").alias("agrees"),
     )
-    return judged.groupBy("doc_id", "text_key", "item_id").agg(
+    return aligned.groupBy("doc_id", "text_key", "item_id").agg(
         F.max("n_windows").cast("bigint").alias("n_windows"),
         F.min("first_at").cast("bigint").alias("first_word"),
         F.max("slots").cast("bigint").alias("n_slots"),
