@@ -92,8 +92,8 @@ def window_hashes(words: Column, width: int) -> Column:
     return let(F.transform(words, lambda w: F.xxhash64(w)), of)
 
 
-def _keys(width: int) -> Column:
-    """(at, window, both) of each window of ``typed``, ``plain`` and ``verbatim`` words; ``both`` if typed and plain are one."""
+def _keys(width: int, verbatim_words: Column) -> Column:
+    """(at, window, both, mode) of each window of ``typed``, ``plain`` and ``verbatim_words``; ``both`` if typed and plain are one."""
     numbers = F.xxhash64(*[F.xxhash64(F.lit(_NUMBER_MARK))] * width)
 
     def of(hashes: Column) -> Column:
@@ -110,16 +110,14 @@ def _keys(width: int) -> Column:
 
         return F.concat(F.transform(hashes, plain), F.filter(F.transform(hashes, typed), lambda x: x.isNotNull()))
 
-    of_words = [window_hashes(F.col(c), width).alias(c) for c in ("typed", "plain", "verbatim")]
-    return let(F.arrays_zip(*of_words), of)
-
+    def zipped(plain: Column) -> Column:
+        # the words as they stand are read only for texts with a window of numbers alone
+        verbatim = F.when(F.array_contains(plain, numbers), window_hashes(verbatim_words, width)).otherwise(
+            F.array().cast("array<bigint>")
+        )
+        return F.arrays_zip(window_hashes(F.col("typed"), width).alias("typed"), plain.alias("plain"), verbatim.alias("verbatim"))
 
-def _with_words(text: str) -> list[Column]:
-    return [
-        canonical_words(F.col(text)).alias("typed"),
-        canonical_words(F.col(text), typed=False).alias("plain"),
-        slot_words(F.col(text)).alias("verbatim"),
-    ]
+    return let(let(window_hashes(F.col("plain"), width), zipped), of)
 
 
 def matches(
@@ -129,13 +127,15 @@ def matches(
 
     ``docs`` has doc_id and text, ``benchmark`` item_id and text.
     """
-    items = benchmark.select("item_id", F.col("text").alias("item_text"), *_with_words("text")).where(F.size("typed") > 0)
+    words = [canonical_words(F.col("text"), typed).alias(name) for name, typed in (("typed", True), ("plain", False))]
+    items = benchmark.select("item_id", F.col("text").alias("item_text"), *words, slot_words(F.col("text")).alias("verbatim"))
+    items = items.where(F.size("typed") > 0)
     items = items.withColumn("width", F.least(F.size("typed"), F.lit(width)))
     # the lengths of short items; documents have windows of these lengths too
     widths = sorted({width, *(r.width for r in items.select("width").distinct().collect())})
     key = F.array().cast("array<struct<at:int,window:bigint,both:boolean,mode:int>>")
     for w in widths:
-        key = F.when(F.col("width") == w, _keys(w)).otherwise(key)
+        key = F.when(F.col("width") == w, _keys(w, F.col("verbatim"))).otherwise(key)
     spread = items.select("item_id", F.xxhash64("item_text").alias("item_key"), "width", F.inline(key)).select(
         "window",
         "item_id",
@@ -146,8 +146,9 @@ def matches(
     )
     spread = spread.dropDuplicates()
     small = spread.limit(broadcast_rows + 1).count() <= broadcast_rows
-    keyed = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), *_with_words("text"))
-    keyed = keyed.select("doc_id", "text_key", F.inline(F.concat(*[_keys(w) for w in widths]))).select("doc_id", "text_key", "at", "window")
+    keyed = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), "text", *words)
+    keys = F.concat(*[_keys(w, slot_words(F.col("text"))) for w in widths])
+    keyed = keyed.select("doc_id", "text_key", F.inline(keys)).select("doc_id", "text_key", "at", "window")
     found = keyed.join(F.broadcast(spread) if small else spread, "window").withColumn("mode", F.explode("modes"))
     # one row per run: overlapping windows of a passage share their alignment and follow each other
     aligned = ["doc_id", "text_key", "item_id", "item_key", "width", "mode", "shift"]
