@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, languages, mixing, rules, secrets, simhash, suffixes, templates, warc, windows
+from tidemark.llm import (
+    chat,
+    languages,
+    licenses,
+    mixing,
+    oracle,
+    prefixes,
+    repair,
+    rules,
+    secrets,
+    simhash,
+    suffixes,
+    templates,
+    warc,
+    windows,
+)
 from tidemark.llm.common import table
 from tidemark.session import fresh_path, stored
 
@@ -159,6 +174,67 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op11_license_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licenses of all documents: places of phrases, and blocks that hold the words of a template."""
+    out = licenses.scan(table(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id",
+        "n_words",
+        "n_base",
+        "first_word",
+        "last_word",
+        F.array_join("base", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """Conversations with the damage that the hash of a row names; a dropped row is marked as ``gone``."""
+    known = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(" "))
+    kind = F.col("kind")
+    copies = F.when(kind == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return turns.select(
+        "conv_id",
+        "turn",
+        known("role").alias("role"),
+        known("text").alias("text"),
+        (F.crc32(F.concat(known("conv_id"), F.lit(":"), known("turn"))) % 20).alias("kind"),
+    ).select(
+        "conv_id",
+        "turn",
+        F.when(kind == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(kind == 1, "").when(kind == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text")).alias("text"),
+        (kind == 0).alias("gone"),
+        F.explode(copies).alias("copy"),
+    )
+
+
+def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged by the rule of the test and repaired."""
+    out = repair.repair(damaged(table(spark, sf_dir, "conversations")))
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return out.select("conv_id", *counts, "audit", repair.repaired_digest().alias("repaired_sha256"))
+
+
+def rebuilt(own: DataFrame, group: int = 100, most: int = 6) -> DataFrame:
+    """Conversations whose first turns are those of the first conversation of their hundred."""
+    heads = own.where(F.col("conv_id") % group == 0).select(
+        F.col("conv_id").alias("_base"), F.slice("turns", 1, most - 1).alias("_head")
+    )
+    h = (F.crc32(F.col("conv_id").cast("string")) % most).cast("int")
+    joined = own.join(heads, F.col("conv_id") - F.col("conv_id") % group == F.col("_base"), "left")
+    head = F.coalesce(F.slice("_head", F.lit(1), h), F.slice("turns", 1, 0))
+    return joined.select("conv_id", F.concat(head, F.slice("turns", h + 1, F.size("turns"))).alias("turns"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all conversations, rebuilt so that many share their first turns."""
+    own = stored(prefixes.sequences(table(spark, sf_dir, "conversations")), "sequences")
+    nodes = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+    return prefixes.trie(rebuilt(own)).select(*nodes)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_golay_simhash": op2_golay_simhash,
@@ -170,5 +246,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_compact_windows": op8_compact_windows,
     "op9_template_decontamination": op9_template_decontamination,
     "op10_mixing": op10_mixing,
+    "op11_license_join": op11_license_join,
+    "op12_structure_repair": op12_structure_repair,
+    "op13_prefix_trie": op13_prefix_trie,
 }
-ORACLE: dict[str, str] = {}
+ORACLE = oracle.ORACLE
