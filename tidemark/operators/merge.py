@@ -79,13 +79,18 @@ def merge_upsert(
     action_column: str | None = None,
     check_unique: bool = True,
     broadcast_limit: int = BROADCAST_LIMIT,
+    tie_breakers: Sequence[str] | None = None,
+    before_column: str | None = None,
 ) -> DataFrame:
     """New image of ``target`` after an upsert of ``source``.
 
     Matched rows take ``update_columns`` from the source and keep the rest. Unmatched source
     rows are inserted with ``insert_columns`` (default: keys and update columns), other
     columns NULL. Rows with a NULL key never match. With ``newer_by`` a matched row changes
-    only when the source is not older. ``action_column`` adds updated, inserted or kept.
+    only when the source is not older; a stored row without a time always does. With ``tie_breakers`` the order is that of
+    ``latest_per_key`` instead: a row without a time is the newest, and the tie breakers settle equally new ones, so versions
+    merged one after the other, in any order, end as if ranked at once.
+    ``action_column`` adds updated, inserted or kept, ``before_column`` the row an updated one was before.
 
     A source measured within ``broadcast_limit`` bytes is broadcast and the target is not
     shuffled; a larger one goes through a full outer join on the keys. Checking and measuring
@@ -93,23 +98,41 @@ def merge_upsert(
     """
     keys = list(keys)
     insert_columns = list(insert_columns or [*keys, *update_columns])
-    used = list(dict.fromkeys([*keys, *update_columns, *insert_columns, *([newer_by] if newer_by else [])]))
+    ordered_by = [newer_by] if newer_by else []
+    used = list(dict.fromkeys([*keys, *update_columns, *insert_columns, *ordered_by, *(tie_breakers or ())]))
     source = source.select(*used)
     size = require_unique(source, keys) if check_unique else None
-    if broadcast_limit and (measured_bytes(source) if size is None else size) <= broadcast_limit:
-        return _merge_small(target, source, keys, update_columns, insert_columns, newer_by, action_column)
-    return _merge_large(target, source, keys, update_columns, insert_columns, newer_by, action_column)
+    small = broadcast_limit and (measured_bytes(source) if size is None else size) <= broadcast_limit
+    merged = _merge_small if small else _merge_large
+    guard = not_older(newer_by, tie_breakers) if newer_by else F.lit(True)
+    return merged(target, source, keys, update_columns, insert_columns, guard, action_column, before_column)
 
 
-def _image(t_columns, types, keys, update_columns, insert_columns, newer_by, in_target, in_source):
+def not_older(newer_by: str, tie_breakers: Sequence[str] | None) -> Column:
+    """Whether the source columns ``_s_name`` of a matched row replace those of the target.
+
+    With ``tie_breakers`` they do if they rank first or equal: the newest first with NULL as the newest, equal ones by the
+    smallest tie breakers with NULL as the largest.
+    """
+    if tie_breakers is None:
+        return F.col(newer_by).isNull() | (F.col(f"_s_{newer_by}") >= F.col(newer_by))
+    ranks_before = F.lit(True)  # equal in everything
+    for name in reversed(tie_breakers):
+        theirs, ours = F.col(f"_s_{name}"), F.col(name)
+        smaller = F.coalesce(theirs < ours, theirs.isNotNull())
+        ranks_before = F.when(theirs.eqNullSafe(ours), ranks_before).otherwise(smaller)
+    theirs, ours = F.col(f"_s_{newer_by}"), F.col(newer_by)
+    newer = F.coalesce(theirs > ours, theirs.isNull())
+    return F.when(theirs.eqNullSafe(ours), ranks_before).otherwise(newer)
+
+
+def _image(target, update_columns, insert_columns, guard, in_target, in_source, action_column, before_column):
     """Output columns over target columns ``name`` and source columns ``_s_name``."""
-    matched = in_target & in_source
-    applies = matched
-    if newer_by:
-        applies = matched & (F.col(newer_by).isNull() | (F.col(f"_s_{newer_by}") >= F.col(newer_by)))
+    types = {f.name: f.dataType for f in target.schema.fields}
+    applies = in_target & in_source & guard
     inserted = in_source & ~in_target
     out = []
-    for name in t_columns:
+    for name in target.columns:
         theirs = F.col(f"_s_{name}").cast(types[name])
         value = F.col(name)
         if name in update_columns:
@@ -117,46 +140,44 @@ def _image(t_columns, types, keys, update_columns, insert_columns, newer_by, in_
         if name in insert_columns:
             value = F.when(inserted, theirs).otherwise(value)
         out.append(value.alias(name))
-    action = F.when(inserted, "inserted").when(applies, "updated").otherwise("kept")
-    return out, action
+    if action_column:
+        out.append(F.when(inserted, "inserted").when(applies, "updated").otherwise("kept").alias(action_column))
+    if before_column:
+        out.append(F.when(applies, F.struct(*target.columns)).alias(before_column))
+    return out
 
 
 def _renamed(source: DataFrame) -> DataFrame:
     return source.select([F.col(c).alias(f"_s_{c}") for c in source.columns])
 
 
-def _merge_large(target, source, keys, update_columns, insert_columns, newer_by, action_column):
-    types = {f.name: f.dataType for f in target.schema.fields}
+def _merge_large(target, source, keys, update_columns, insert_columns, guard, action_column, before_column):
     left = target.withColumn("_slot", null_slot(target, keys)).withColumn("_in_target", F.lit(True))
     right = _renamed(source.withColumn("slot", null_slot(source, keys))).withColumn("_in_source", F.lit(True))
     on = reduce(and_, [F.col(k) == F.col(f"_s_{k}") for k in keys], F.col("_slot") == F.col("_s_slot"))
     joined = left.join(right, on, "full")
     in_target = F.coalesce(F.col("_in_target"), F.lit(False))
     in_source = F.coalesce(F.col("_in_source"), F.lit(False))
-    columns, action = _image(
-        target.columns, types, keys, update_columns, insert_columns, newer_by, in_target, in_source
+    return joined.select(
+        *_image(target, update_columns, insert_columns, guard, in_target, in_source, action_column, before_column)
     )
-    return joined.select(*columns, *([action.alias(action_column)] if action_column else []))
 
 
-def _merge_small(target, source, keys, update_columns, insert_columns, newer_by, action_column):
+def _merge_small(target, source, keys, update_columns, insert_columns, guard, action_column, before_column):
     types = {f.name: f.dataType for f in target.schema.fields}
     right = F.broadcast(_renamed(source).withColumn("_in_source", F.lit(True)))
     on = reduce(and_, [F.col(k) == F.col(f"_s_{k}") for k in keys])
     in_source = F.coalesce(F.col("_in_source"), F.lit(False))
-    columns, action = _image(
-        target.columns, types, keys, update_columns, insert_columns, newer_by, F.lit(True), in_source
+    kept = target.join(right, on, "left").select(
+        *_image(target, update_columns, insert_columns, guard, F.lit(True), in_source, action_column, before_column)
     )
-    kept = target.join(right, on, "left").select(*columns, *([action.alias(action_column)] if action_column else []))
 
     source_keys = F.broadcast(source.select(*keys))
     matched = target.select(*keys).join(source_keys, keys, "left_semi")
     new_rows = without_match(source, matched, keys).select(
-        [
-            (F.col(c) if c in insert_columns else F.lit(None)).cast(types[c]).alias(c)
-            for c in target.columns
-        ]
+        [(F.col(c) if c in insert_columns else F.lit(None)).cast(types[c]).alias(c) for c in target.columns]
         + ([F.lit("inserted").alias(action_column)] if action_column else [])
+        + ([F.lit(None).cast(target.select(F.struct("*")).schema[0].dataType).alias(before_column)] if before_column else [])
     )
     return kept.unionByName(new_rows)
 
