@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import quality
 from tidemark.sinks import files, tables
+from tidemark.sinks.commits import CommitConflict
 
 
 def test_json_keeps_odd_types_as_text(spark, tmp_path):
@@ -63,6 +64,44 @@ def test_upsert_table_counts(spark, tmp_path, rows):
     assert rows(tables.read_image(spark, base)) == [(1, "a"), (2, "b"), (3, "b")]
 
 
+def test_two_writers_of_an_image_lose_nothing(spark, tmp_path, rows):
+    base, done = str(tmp_path / "t"), []
+    frame = lambda ids, v: spark.createDataFrame([(i, v) for i in ids], "k BIGINT, v STRING")
+    tables.refresh(frame([1, 2, 3], "a"), base)
+
+    def interrupt():
+        if not done:
+            done.append(tables.upsert_table(spark, base, frame([1, 2], "theirs"), ["k"], ["v"]))
+
+    counts = tables.upsert_table(spark, base, frame([2, 4], "ours"), ["k"], ["v"], before_commit=interrupt)
+    assert counts == {"inserted": 1, "updated": 1, "kept": 2}
+    assert rows(tables.read_image(spark, base)) == [(1, "theirs"), (2, "ours"), (3, "a"), (4, "ours")]
+
+
+@pytest.mark.parametrize("pruned", [False, True])
+def test_a_refresh_that_comes_second(spark, tmp_path, monkeypatch, pruned):
+    """It replaces the image that came first; if its own was taken for a crashed one, that is an error, not a lost table."""
+    base, write, done = str(tmp_path / "t"), tables._write_image, []
+    tables.refresh(spark.range(1), base)
+
+    def slow(df, *args):
+        name = write(df, *args)
+        if not done:
+            done.append(name)
+            tables.refresh(spark.range(5), base)
+            if pruned:
+                (tmp_path / "t" / name).rename(tmp_path / "t" / "pruned")
+        return name
+
+    monkeypatch.setattr(tables, "_write_image", slow)
+    if pruned:
+        with pytest.raises(CommitConflict):
+            tables.refresh(spark.range(2), base)
+    else:
+        tables.refresh(spark.range(2), base)
+    assert tables.read_image(spark, base).count() == (5 if pruned else 2)
+
+
 def test_partition_upsert_leaves_other_partitions_alone(spark, tmp_path, rows):
     path = str(tmp_path / "daily")
     frame = lambda data: spark.createDataFrame(data, "d STRING, k BIGINT, v STRING")
