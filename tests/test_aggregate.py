@@ -2,6 +2,7 @@ import random
 import statistics
 from datetime import datetime
 from decimal import Decimal
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -47,6 +48,32 @@ def test_moments_combine_like_one_pass(spark):
     assert row["stddev"] == pytest.approx(statistics.stdev(values))
 
 
+@pytest.mark.parametrize("mean", ["1000000", "0.5", "-1000000", "-0.5", "0"])
+@pytest.mark.parametrize("copies", [1, 10**5, 10**11])
+def test_deviation_at_any_size(spark, mean, copies):
+    """Two groups of values 0.01 around a mean, and one value that differs from all others, against exact arithmetic."""
+    base = Decimal(mean)
+    for values in ([base - Decimal("0.01"), base + Decimal("0.01")], [base] * 3 + [base + Decimal("0.0001")]):
+        df = spark.createDataFrame([(v,) for v in values], "v DECIMAL(14,4)")
+        stats = aggregate.combined(weight=F.lit(copies))
+        row = df.groupBy("v").agg(*aggregate.moments("v")).agg(stats["stddev"].alias("d"), stats["count"].alias("n")).first()
+        n = len(values) * copies
+        m = sum(map(Fraction, values)) / len(values)
+        variance = sum((Fraction(v) - m) ** 2 for v in values) * copies / (n - 1)
+        assert row.n == n and row.d == pytest.approx(float(variance) ** 0.5, rel=1e-9)
+
+
+def test_one_value_among_many(spark):
+    """All but one of 2 * 10^11 values are equal."""
+    for odd in ("0.0001", "-0.0001", "1000000"):
+        df = spark.createDataFrame([(Decimal("3.3333"), 2 * 10**11 - 1), (Decimal("3.3333") + Decimal(odd), 1)], "v DECIMAL(14,4), w BIGINT")
+        per_value = df.groupBy("v").agg(*aggregate.moments("v"), F.max("w").alias("w"))
+        got = per_value.agg(aggregate.combined(weight=F.col("w"))["stddev"]).first()[0]
+        n = 2 * 10**11
+        exact = (Fraction(odd) ** 2 * (n - 1) / n / (n - 1)) ** Fraction(1, 2)
+        assert got == pytest.approx(float(exact), rel=1e-9)
+
+
 def test_deviation_of_equal_and_single_values(spark):
     def dev(values):
         df = spark.createDataFrame([(Decimal(v),) for v in values], "v DECIMAL(10,4)")

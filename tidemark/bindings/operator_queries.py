@@ -245,7 +245,7 @@ def _renewed(markets):
     )
 
 
-_MERGED_SUMMARY = f"""WITH {MARKETS_SQL},
+MERGED_SUMMARY_SQL = f"""WITH {MARKETS_SQL},
 t AS (SELECT * FROM markets WHERE last_updated < {_BEFORE}),
 s AS (SELECT market_id, market_name || ' v2' AS market_name, upper(short_name) AS short_name,
   market_url || '?v=2' AS market_url, 'Renewed' AS market_status, total_contracts + 1 AS total_contracts,
@@ -259,20 +259,23 @@ merged AS (
   SELECT * FROM t WHERE market_id NOT IN (SELECT market_id FROM s))"""
 
 
-def _merge_summary(spark, sf, **options):
+def merge_sides(spark, sf):
+    """Target and source of the summary merges."""
     markets = lens.markets(spark, sf)
-    target = markets.filter(F.col("last_updated") < F.lit(_OLD))
-    return merge.merge_upsert(
-        target, _renewed(markets), ["market_id"], model.SUMMARY_UPDATES, model.SUMMARY_INSERTS, **options
-    )
+    return markets.filter(F.col("last_updated") < F.lit(_OLD)), _renewed(markets)
+
+
+def _merge_summary(spark, sf, **options):
+    target, source = merge_sides(spark, sf)
+    return merge.merge_upsert(target, source, ["market_id"], model.SUMMARY_UPDATES, model.SUMMARY_INSERTS, **options)
 
 
-@query("k08_merge_market_summary", _MERGED_SUMMARY + f" SELECT {SUMMARY_OUT} FROM merged")
+@query("k08_merge_market_summary", MERGED_SUMMARY_SQL + f" SELECT {SUMMARY_OUT} FROM merged")
 def _(spark, sf):
     return _merge_summary(spark, sf, broadcast_limit=0)
 
 
-@query("k08b_merge_market_summary_small_source", _MERGED_SUMMARY + f" SELECT {SUMMARY_OUT} FROM merged")
+@query("k08b_merge_market_summary_small_source", MERGED_SUMMARY_SQL + f" SELECT {SUMMARY_OUT} FROM merged")
 def _(spark, sf):
     return _merge_summary(spark, sf)
 
@@ -386,7 +389,7 @@ def _(spark, sf):
 
 @query(
     "k11c_merge_counts",
-    _MERGED_SUMMARY
+    MERGED_SUMMARY_SQL
     + """ SELECT CAST(COUNT_IF(i) AS BIGINT) AS inserted, CAST(COUNT_IF(NOT i) AS BIGINT) AS updated, (SELECT COUNT(*) FROM t ANTI JOIN s USING (market_id)) AS kept
 FROM (SELECT market_id NOT IN (SELECT market_id FROM t) AS i FROM s)""",
 )

@@ -13,14 +13,15 @@ from pyspark.sql import functions as F
 
 from tidemark.bindings import lens
 from tidemark.bindings.lens import ALL_TABLES_SQL, DOCUMENTS_SQL, MARKETS_SQL, RAW_SQL, SUMMARY_SQL, TABLES_SQL
-from tidemark.bindings.operator_queries import SUMMARY_OUT, trends
+from tidemark.bindings.operator_queries import DETAILS_OUT, MERGED_SUMMARY_SQL, SUMMARY_OUT, merge_sides, trends
 from tidemark.bindings.registry import big, date_text, dbl, query, rnd, ts
 from tidemark.functions.columns import rounded
 from tidemark.operators import quality
 from tidemark.operators.flatten import flatten_snapshots
-from tidemark.plans import model, refresh, reports
+from tidemark.plans import model, refresh, reports, upkeep
 from tidemark.session import fresh_path
 from tidemark.sinks import files, tables
+from tidemark.sinks.managed import ManagedTable, by_hash, by_value
 from tidemark.sources import feeds, snapshots
 from tidemark.sources import tables as table_sources
 from tidemark.streaming import incremental
@@ -235,6 +236,37 @@ def _(spark, sf):
     return lake.select(F.col("data.event.event_id").alias("event_id"), "day")
 
 
+def stamped_lake(spark, sf) -> str:
+    """Event documents as lines under day folders: some stamped with an offset, those of the smallest values cut off."""
+
+    def write(path):
+        stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+        zone = F.when(F.col("event_type") == "view", "Z").when(F.col("event_type") == "click", "+02:00").otherwise("")
+        text = F.to_json(F.struct(F.concat(stamp, zone).alias("extracted_at"), F.lit("events").alias("source"), F.struct("event_id").alias("data")))
+        line = F.when(F.col("value") < 1, F.substring(text, 1, 40)).otherwise(text)
+        parts = [F.date_format("ts", f).alias(n) for n, f in (("year", "yyyy"), ("month", "MM"), ("day", "dd"))]
+        rows = lens.table(spark, sf, "events").select(line.alias("value"), *parts)
+        rows.write.mode("overwrite").partitionBy("year", "month", "day").text(path)
+
+    return landed(spark, sf, "stamped", write)
+
+
+@query(
+    "s09b_lake_tolerant",
+    f"""SELECT CAST(day(ts) AS BIGINT) AS day, COUNT_IF(value >= 1)::BIGINT AS documents, COUNT_IF(value < 1)::BIGINT AS unreadable,
+  {ts("MIN(CASE WHEN value >= 1 THEN CASE event_type WHEN 'click' THEN ts - INTERVAL 2 HOUR ELSE ts END END)")} AS first_taken
+FROM events WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-25' GROUP BY 1""",
+)
+def _(spark, sf):
+    """Offsets are honoured and cut lines are told apart, not read as rows of NULLs."""
+    schema = "extracted_at TIMESTAMP_NTZ, source STRING, data STRUCT<event_id: BIGINT>"
+    lake = snapshots.read_lake(spark, stamped_lake(spark, sf), date(2024, 1, 5), date(2024, 1, 24), schema)
+    bad = snapshots.is_unreadable(lake)
+    return lake.select("day", "extracted_at", bad.alias("bad")).groupBy("day").agg(
+        F.count_if(~F.col("bad")).alias("documents"), F.count_if("bad").alias("unreadable"), F.min("extracted_at").alias("first_taken")
+    )
+
+
 @query("s10_full_reload", "SELECT market_id, COUNT(*) AS copies FROM (" + DOCUMENTS_SQL + "SELECT market_id FROM raw) GROUP BY 1")
 def _(spark, sf):
     """Loading the same files twice leaves one copy of each row."""
@@ -278,6 +310,43 @@ def _(spark, sf):
     return tables.read_image(spark, base)
 
 
+_STAMPED = """CASE l_returnflag WHEN 'A' THEN l_shipdate - INTERVAL 5 HOUR ELSE l_shipdate END"""
+
+
+@query(
+    "s11c_stream_equals_batch",
+    f"""SELECT mode, (SELECT COUNT(*) FROM lineitem WHERE l_quantity < 49) AS documents,
+  (SELECT COUNT(*) FROM lineitem WHERE l_quantity >= 49) AS unreadable,
+  (SELECT {ts(f'MIN({_STAMPED})')} FROM lineitem WHERE l_quantity < 49) AS first_taken,
+  (SELECT {ts(f'MAX({_STAMPED})')} FROM lineitem WHERE l_quantity < 49) AS last_taken FROM (VALUES ('batch'), ('stream')) AS t(mode)""",
+)
+def _(spark, sf):
+    """The same files by a load and by a stream: stamps with an offset are read, impossible ones quarantined, by both."""
+    documents = lens.table(spark, sf, "lineitem").select(
+        F.concat(F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss"), F.when(F.col("l_returnflag") == "A", "+05:00").otherwise("")).alias("stamp"),
+        (F.col("l_quantity") >= 49).alias("odd"),
+        F.struct(F.array(F.struct(F.col("l_orderkey").alias("id"))).alias("markets")).alias("data"),
+    )
+    stamp = F.when(F.col("odd"), F.concat(F.lit("day "), "stamp")).otherwise(F.col("stamp"))
+    landing, target, lost = (fresh_path(spark, n) for n in ("inbox", "raw", "lost"))
+    documents.select(stamp.alias("extracted_at"), F.lit("s").alias("source"), "data").write.json(landing)
+    stream = incremental.document_stream(spark, landing, one_per_file=False)
+    incremental.append_raw(stream, target, fresh_path(spark, "progress")).awaitTermination()
+    incremental.append_quarantine(stream, lost, fresh_path(spark, "progress")).awaitTermination()
+    load = snapshots.load_snapshots(spark, landing, one_per_file=False)
+    batch = flatten_snapshots(load.good)
+
+    def facts(mode, raw, bad):
+        return raw.agg(
+            F.lit(mode).alias("mode"),
+            F.count("*").alias("documents"),
+            F.min("extraction_timestamp").alias("first_taken"),
+            F.max("extraction_timestamp").alias("last_taken"),
+        ).withColumn("unreadable", bad.agg(F.count("*").alias("n")).scalar())
+
+    return facts("batch", batch, load.quarantined).unionByName(facts("stream", spark.read.parquet(target), spark.read.parquet(lost)))
+
+
 @query(
     "s12_table_from_dict",
     "SELECT o_orderkey AS id, o_orderpriority AS label, CAST(o_totalprice AS DOUBLE) AS price, 'orders' AS source_file, true AS stamped FROM orders",
@@ -456,6 +525,36 @@ def _(spark, sf):
     return spark.read.parquet(path)
 
 
+@query(
+    "k10c_merge_managed_days",
+    ALL_TABLES_SQL
+    + f""", y AS (SELECT * REPLACE (CAST(date_trunc('month', metric_date) AS DATE) AS metric_date) FROM metrics)
+SELECT market_id, {date_text('metric_date')} AS metric_date,
+       total_contracts + CASE WHEN metric_date >= DATE '2001-01-01' THEN 1 ELSE 0 END AS total_contracts FROM y""",
+)
+def _(spark, sf):
+    """The same, each version put in place by the commit log: a failure or a second writer leaves no half-written month."""
+    table = ManagedTable(spark, fresh_path(spark, "months"), by_value("metric_date"))
+    metrics = lens.metrics(spark, sf).withColumn("metric_date", F.trunc("metric_date", "month"))
+    metrics = metrics.select("metric_date", "market_id", "total_contracts")
+    table.merge(metrics, model.DAILY_KEYS, ["total_contracts"], ("months", 0))
+    late = metrics.filter(F.col("metric_date") >= F.lit(date(2001, 1, 1)))
+    late = late.withColumn("total_contracts", F.col("total_contracts") + 1)
+    for _repeated in range(2):
+        table.merge(late, model.DAILY_KEYS, ["total_contracts"], ("months", 1))
+    return table.read()
+
+
+@query("k11d_bucketed_merge", MERGED_SUMMARY_SQL + f" SELECT {SUMMARY_OUT} FROM merged")
+def _(spark, sf):
+    """The merge of k08 into a table of key buckets: only buckets with a source row are read and written."""
+    target, source = merge_sides(spark, sf)
+    table = ManagedTable(spark, fresh_path(spark, "bucketed"), by_hash(["market_id"], 32))
+    table.replace(target)
+    table.merge(source, ["market_id"], model.SUMMARY_UPDATES, insert_columns=model.SUMMARY_INSERTS, check_unique=False)
+    return table.read()
+
+
 @query("k15_trend_table", TABLES_SQL + f"SELECT market_status, COUNT(*) AS markets, COUNT_IF(avg_price IS NULL)::BIGINT AS unpriced FROM (SELECT m.market_id, market_status, AVG(last_trade_price) AS avg_price FROM markets m LEFT JOIN contracts c USING (market_id) GROUP BY ALL) GROUP BY 1")
 def _(spark, sf):
     """Trends kept as a catalog table, replaced by a later run."""
@@ -654,17 +753,14 @@ def _(spark, sf):
     return result.checks
 
 
-@query(
-    "x11b_refresh_from_files",
-    DOCUMENTS_SQL
-    + f"""SELECT s.market_id, '2002-01-01' AS metric_date, COUNT(DISTINCT contract_id) AS total_contracts,
+_REFRESHED_METRICS_SQL = f"""SELECT s.market_id, '2002-01-01' AS metric_date, COUNT(DISTINCT contract_id) AS total_contracts,
        {dbl('COALESCE(SUM(last_trade_price), 0)')} AS total_volume, {rnd('COALESCE(AVG(last_trade_price), 0)', 6)} AS avg_trade_price,
        {rnd('COALESCE(STDDEV_SAMP(CAST(last_trade_price AS DOUBLE)), 0)', 6)} AS price_volatility
-FROM summary s LEFT JOIN details d USING (market_id) GROUP BY s.market_id""",
-)
-def _(spark, sf):
-    result = refresh.run(spark, document_files(spark, sf), fresh_path(spark, "warehouse"), date(2002, 1, 1), one_per_file=False)
-    return result.daily_metrics.select(
+FROM summary s LEFT JOIN details d USING (market_id) GROUP BY s.market_id"""
+
+
+def _metrics_out(daily):
+    return daily.select(
         "market_id",
         "metric_date",
         "total_contracts",
@@ -674,6 +770,49 @@ def _(spark, sf):
     )
 
 
+@query(
+    "x11b_refresh_from_files",
+    DOCUMENTS_SQL + _REFRESHED_METRICS_SQL,
+)
+def _(spark, sf):
+    result = refresh.run(spark, document_files(spark, sf), fresh_path(spark, "warehouse"), date(2002, 1, 1), one_per_file=False)
+    return _metrics_out(result.daily_metrics)
+
+
+_KEPT_UP: dict[tuple[str, str], upkeep.Warehouse] = {}
+
+
+def kept_up(spark, sf) -> upkeep.Warehouse:
+    """All tables after three batches, the newest snapshots first and the oldest twice; once per session and table folder."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _KEPT_UP:
+        documents = snapshots.read_documents(spark, document_files(spark, sf), one_per_file=False)
+        taken = F.col("extracted_at")
+        cuts = [taken >= F.lit(datetime(2000, 1, 1)), taken < F.lit(datetime(1997, 1, 1))]
+        waves = [documents.where(cuts[0]), documents.where(~cuts[0] & ~cuts[1]), documents.where(cuts[1])]
+        warehouse = upkeep.Warehouse.at(spark, fresh_path(spark, "upkeep"), buckets=16, period="year")
+        for number, wave in [*enumerate(waves), (2, waves[2])]:
+            upkeep.apply_batch(wave, warehouse, number, metric_date=date(2002, 1, 1))
+        _KEPT_UP[key] = warehouse
+    return _KEPT_UP[key]
+
+
+@query("x11c_incremental_equals_full", DOCUMENTS_SQL + _REFRESHED_METRICS_SQL)
+def _(spark, sf):
+    """Daily metrics kept up batch by batch equal those of a full refresh."""
+    return _metrics_out(kept_up(spark, sf).daily_metrics.read())
+
+
+@query("x11d_incremental_details", DOCUMENTS_SQL + f"SELECT {DETAILS_OUT} FROM details")
+def _(spark, sf):
+    return kept_up(spark, sf).contract_details.read()
+
+
+@query("x11e_incremental_summary", f"WITH {RAW_SQL}, {SUMMARY_SQL} SELECT {SUMMARY_OUT} FROM summary")
+def _(spark, sf):
+    return kept_up(spark, sf).market_summary.read()
+
+
 @query(
     "x2_upsert_published_table",
     f"WITH {RAW_SQL}, {SUMMARY_SQL} SELECT market_status, COUNT(*) AS n, {big('SUM(total_contracts)')} AS total_contracts FROM summary GROUP BY 1",

@@ -85,15 +85,25 @@ def table_counts(tables: Mapping[str, DataFrame], name_alias: str = "table_name"
 
 # --- mergeable moments of a DECIMAL column -------------------------------------------------
 # Sums of decimals are exact, so moments taken per fine key combine to coarse keys without
-# loss and in any order. This lets a report aggregate before it joins.
+# loss and in any order. This lets a report aggregate before it joins. Squares are kept in whole units of the last
+# digit, where a decimal has room for 10^18 values of a million.
+
+SCALE = 4
+_WHOLE = "decimal(38,0)"
+
+
+def units(value: ColumnLike) -> Column:
+    """A DECIMAL with up to ``SCALE`` digits behind the point as a whole number of its last digit."""
+    return (as_column(value) * F.lit(10**SCALE).cast("decimal(5,0)")).cast(_WHOLE)
 
 
 def moments(value: ColumnLike, prefix: str = "p") -> list[Column]:
     value = as_column(value)
+    whole = units(value).cast("decimal(18,0)")
     return [
         F.count(value).alias(f"{prefix}_n"),
         F.sum(value).alias(f"{prefix}_sum"),
-        F.sum(value * value).alias(f"{prefix}_squares"),
+        F.sum((whole * whole).cast(_WHOLE)).alias(f"{prefix}_squares"),
         F.min(value).alias(f"{prefix}_min"),
         F.max(value).alias(f"{prefix}_max"),
     ]
@@ -103,7 +113,7 @@ def combined(prefix: str = "p", weight: Column | None = None) -> dict[str, Colum
     """Aggregate expressions over rows of partial moments."""
     n, total, squares = (F.col(f"{prefix}_{s}") for s in ("n", "sum", "squares"))
     if weight is not None:
-        n, total, squares = n * weight, total * weight, squares * weight
+        n, total, squares = n * weight, total * weight, squares * weight.cast(_WHOLE)
     n, total, squares = F.sum(n), F.sum(total), F.sum(squares)
     return {
         "count": F.coalesce(n, F.lit(0)).cast("bigint"),
@@ -120,15 +130,16 @@ def mean_of(n: Column, total: Column) -> Column:
 
 
 def deviation_of(n: Column, total: Column, squares: Column) -> Column:
-    """Sample deviation from count, sum and sum of squares; NULL below two values.
+    """Sample deviation from count, sum and sum of squared ``units``; NULL below two values.
 
-    ``n * squares - total * total`` is exact in DECIMAL, so equal values give exactly 0.
-    Sums too large for that (over 10^11 values) use doubles, where the loss is negligible.
+    One way for every size. With the sum of units as ``n * q + r``, 0 <= r < n, the squared distances from q add up to
+    ``squares - q * (sum + r)``, a whole number taken exactly, and their sum about the mean is that less r^2 / n. It is
+    computed as ``(that - r) + r * (n - r) / n``: both parts are at least 0, so nothing cancels, and equal values give exactly 0.
     """
-    exact = (
-        n.try_cast("decimal(11,0)") * squares.try_cast("decimal(26,8)")
-        - total.try_cast("decimal(18,4)") * total.try_cast("decimal(18,4)")
-    ).cast("double")
-    n, total, squares = n.cast("double"), total.cast("double"), squares.cast("double")
-    spread = F.greatest(F.coalesce(exact, n * squares - total * total), F.lit(0.0))
-    return F.when(n > 1, F.sqrt(spread / (n * (n - 1))))
+    count = F.when(n > 0, n).cast(_WHOLE)
+    whole, squares = units(total.cast("decimal(33,4)")), squares.cast(_WHOLE)
+    rest = F.pmod(whole, count)
+    quotient = F.call_function("div", whole - rest, count).cast("decimal(19,0)")
+    about = squares - (quotient * (whole + rest).cast(_WHOLE)).cast(_WHOLE) - rest
+    spread = about.cast("double") + rest.cast("double") * (count - rest).cast("double") / count.cast("double")
+    return F.when(n > 1, F.sqrt(F.greatest(spread, F.lit(0.0)) / (n.cast("double") - 1)) / 10.0**SCALE)

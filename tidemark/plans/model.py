@@ -27,6 +27,9 @@ DETAIL_UPDATES = (
     "last_updated",
 )
 DETAIL_INSERTS = ("contract_id", "market_id", *DETAIL_UPDATES)
+# what settles which of two equally new versions counts
+SUMMARY_TIES = ("market_name", "short_name", "market_url", "market_status", "total_contracts")
+DETAIL_TIES = ("market_id", "contract_name", "contract_status", "display_order", *DETAIL_UPDATES[2:8])
 DAILY_KEYS = ("metric_date", "market_id")
 DAILY_UPDATES = ("total_contracts", "total_volume", "avg_trade_price", "price_volatility")
 
@@ -47,13 +50,13 @@ def market_summary(raw: DataFrame, null_is_zero: bool = True, tie_breakers: tupl
         F.lit("0.00").cast("decimal(18,2)").alias("total_volume"),
         F.col("extraction_timestamp").alias("last_updated"),
     )
-    ties = tie_breakers or ("market_name", "short_name", "market_url", "market_status", "total_contracts")
+    ties = tie_breakers or SUMMARY_TIES
     return latest_per_key(slim, ["market_id"], ["last_updated"], ties)
 
 
 def contract_details(raw: DataFrame, tie_breakers: tuple[ColumnLike, ...] = ()) -> DataFrame:
     """Newest snapshot per contract."""
-    ties = tie_breakers or ("market_id", "contract_name", "contract_status", "display_order", *DETAIL_UPDATES[2:8])
+    ties = tie_breakers or DETAIL_TIES
     return latest_per_key(flatten_contracts(raw), ["contract_id"], ["last_updated"], ties)
 
 

@@ -57,13 +57,13 @@ def read_files(
     return (reader.schema(schema) if schema is not None else reader).load(path)
 
 
-def _with_corrupt_text(schema: Schema) -> Schema:
+def with_corrupt_text(schema: Schema) -> Schema:
     if isinstance(schema, str):
         return f"{schema}, {CORRUPT} STRING"
     return T.StructType([*schema.fields]).add(CORRUPT, "string")
 
 
-def _moments_as_text(schema: Schema) -> tuple[Schema, list[str]]:
+def moments_as_text(schema: Schema) -> tuple[Schema, list[str]]:
     """The schema with its TIMESTAMP_NTZ columns as text, and their names."""
     fields = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
     moments = [f.name for f in fields if isinstance(f.dataType, T.TimestampNTZType)]
@@ -72,15 +72,23 @@ def _moments_as_text(schema: Schema) -> tuple[Schema, list[str]]:
     return T.StructType([T.StructField(f.name, T.StringType()) if f.name in moments else f for f in fields]), moments
 
 
-def _with_moments(documents: DataFrame, moments: list[str], tolerant: bool) -> DataFrame:
+_ZONE = r"(?i)(Z|[+-]\d\d:?\d\d)\s*$"
+
+
+def with_moments(documents: DataFrame, moments: list[str], tolerant: bool) -> DataFrame:
     """Text columns as TIMESTAMP_NTZ in UTC: with or without an offset. Other text makes a document unreadable."""
     for name in moments:
         text = F.col(f"`{name}`")
+        # most texts have no offset; three characters tell, and only what may have one is matched and cast with its zone
+        tail = F.rtrim(text, F.lit(" \t\r\n\f\v"))
+        signs = [F.substring(tail, place, 1).isin("+", "-") for place in (-6, -5)]
+        may_have = signs[0] | signs[1] | F.substring(tail, -1, 1).isin("Z", "z")
+        point = text.try_cast("timestamp")
+        zoned = F.convert_timezone(F.current_timezone(), F.lit("UTC"), point.cast("timestamp_ntz"))
         local = text.try_cast("timestamp_ntz") if tolerant else text.cast("timestamp_ntz")
-        zoned = F.convert_timezone(F.current_timezone(), F.lit("UTC"), text.try_cast("timestamp").cast("timestamp_ntz"))
-        moment = F.when(F.rlike(text, F.lit(r"(?i)(Z|[+-]\d\d:?\d\d)\s*$")) & text.try_cast("timestamp").isNotNull(), zoned).otherwise(local)
+        moment = F.when(may_have & F.rlike(text, F.lit(_ZONE)) & point.isNotNull(), zoned).otherwise(local)
         if tolerant:
-            lost = text.isNotNull() & local.isNull() & text.try_cast("timestamp").isNull()
+            lost = text.isNotNull() & moment.isNull()
             said = F.concat(F.lit(f"{name}: "), text)
             documents = documents.withColumn(CORRUPT, F.coalesce(F.col(CORRUPT), F.when(lost, said)))
         documents = documents.withColumn(name, moment)
@@ -104,9 +112,9 @@ def read_documents(
     if on_error not in ON_ERROR:
         raise ValueError(f"Unsupported on_error: {on_error}")
     tolerant = on_error == "CONTINUE"
-    schema, moments = _moments_as_text(schema)
+    schema, moments = moments_as_text(schema)
     if tolerant:
-        schema = _with_corrupt_text(schema)
+        schema = with_corrupt_text(schema)
     documents = (
         spark.read.schema(schema)
         .option("mode", ON_ERROR[on_error])
@@ -118,7 +126,7 @@ def read_documents(
         .withColumn("source_file", F.col("_metadata.file_path"))
         .withColumn("loaded_at", F.localtimestamp())
     )
-    documents = _with_moments(documents, moments, tolerant)
+    documents = with_moments(documents, moments, tolerant)
     return documents if file_regex is None else documents.filter(F.col("source_file").rlike(file_regex))
 
 
@@ -131,7 +139,8 @@ def is_unreadable(documents: DataFrame) -> Column:
     """
     if CORRUPT not in documents.columns:
         return F.lit(False)
-    payload = [f for f in documents.schema.fields if f.name not in (CORRUPT, "source_file", "loaded_at")]
+    added = (CORRUPT, "source_file", "loaded_at", "year", "month", "day")
+    payload = [f for f in documents.schema.fields if f.name not in added]
     plain = [
         F.col(f"`{f.name}`").cast("string") if isinstance(f.dataType, (T.VariantType, T.MapType)) else F.col(f"`{f.name}`")
         for f in payload
@@ -219,7 +228,7 @@ def copy_into(
     if textual:
         options = {"mode": ON_ERROR[on_error], "columnNameOfCorruptRecord": CORRUPT}
         if on_error == "CONTINUE":
-            schema = _with_corrupt_text(schema)
+            schema = with_corrupt_text(schema)
     rows = location.read(spark, schema, **options).withColumn("source_file", F.col("_metadata.file_path"))
     if file_regex is not None:
         rows = rows.filter(F.col("source_file").rlike(file_regex))
@@ -256,10 +265,31 @@ def in_days(first: date, last: date) -> Column:
 
 
 def read_lake(
-    spark: SparkSession, path: str, first: date | None = None, last: date | None = None, schema: Schema = SNAPSHOT_SCHEMA
+    spark: SparkSession,
+    path: str,
+    first: date | None = None,
+    last: date | None = None,
+    schema: Schema = SNAPSHOT_SCHEMA,
+    on_error: str = "CONTINUE",
 ) -> DataFrame:
-    """Documents under ``year=/month=/day=`` folders; days outside the range are not listed as input."""
-    lake = spark.read.schema(schema).json(path)
+    """Documents, one a line, under ``year=/month=/day=`` folders; days outside the range are not listed as input.
+
+    As ``read_documents`` has them: timestamps with or without offset, ``source_file`` and ``loaded_at``, and the text of an
+    unreadable line in a row of its own, which ``is_unreadable`` tells from the others.
+    """
+    if on_error not in ON_ERROR:
+        raise ValueError(f"Unsupported on_error: {on_error}")
+    tolerant = on_error == "CONTINUE"
+    schema, moments = moments_as_text(schema)
+    lake = (
+        spark.read.schema(with_corrupt_text(schema) if tolerant else schema)
+        .option("mode", ON_ERROR[on_error])
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        .json(path)
+        .withColumn("source_file", F.col("_metadata.file_path"))
+        .withColumn("loaded_at", F.localtimestamp())
+    )
+    lake = with_moments(lake, moments, tolerant)
     if first is None and last is None:
         return lake
     return lake.filter(in_days(first or date.min, last or date.max))

@@ -10,16 +10,26 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.flatten import flatten_snapshots
 from tidemark.plans import model
+from tidemark.plans.model import SUMMARY_TIES
 from tidemark.sinks.tables import prune_images, upsert_table
-from tidemark.sources.snapshots import CORRUPT, JSON_FILES, SNAPSHOT_SCHEMA, is_unreadable
+from tidemark.sources.snapshots import (
+    CORRUPT,
+    JSON_FILES,
+    SNAPSHOT_SCHEMA,
+    is_unreadable,
+    moments_as_text,
+    with_corrupt_text,
+    with_moments,
+)
 
 
 def document_stream(
     spark: SparkSession, path: str, one_per_file: bool = True, pattern: str = JSON_FILES, max_files: int | None = None
 ) -> DataFrame:
-    """Snapshot documents as a stream over landed files."""
+    """Snapshot documents as a stream over landed files, read like ``read_documents`` reads them."""
+    schema, moments = moments_as_text(SNAPSHOT_SCHEMA)
     reader = (
-        spark.readStream.schema(f"{SNAPSHOT_SCHEMA}, {CORRUPT} STRING")
+        spark.readStream.schema(with_corrupt_text(schema))
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("multiLine", one_per_file)
         .option("pathGlobFilter", pattern)
@@ -27,7 +37,7 @@ def document_stream(
     )
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.json(path).withColumn("source_file", F.col("_metadata.file_path"))
+    return with_moments(reader.json(path).withColumn("source_file", F.col("_metadata.file_path")), moments, tolerant=True)
 
 
 def _append(rows: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
@@ -55,8 +65,8 @@ def append_quarantine(documents: DataFrame, target: str, checkpoint: str) -> Str
 def summary_upserter(base: str) -> Callable[[DataFrame, int], None]:
     """Batch function that merges the newest snapshot per market into a published table.
 
-    A snapshot older than the stored one changes nothing, so late files and repeated batches
-    leave the table right.
+    A snapshot ranked behind the stored one changes nothing, so late files and repeated batches
+    leave the table right, and equally new snapshots end as in one batch. ``plans.upkeep`` keeps all tables so.
     """
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
@@ -70,6 +80,7 @@ def summary_upserter(base: str) -> Callable[[DataFrame, int], None]:
             model.SUMMARY_UPDATES,
             insert_columns=model.SUMMARY_INSERTS,
             newer_by="last_updated",
+            tie_breakers=SUMMARY_TIES,
             check_unique=False,
         )
         prune_images(spark, base)
