@@ -111,6 +111,11 @@ def test_a_bad_landing_leaves_the_tables_alone(spark, tmp_path):
     with pytest.raises(quality.QualityError):
         refresh.run(spark, land(tmp_path / "two", a=document(markets=0)), warehouse)
     assert tables.read_image(spark, f"{warehouse}/raw").count() == 2
+    folder = land(tmp_path / "three", a=document(markets=1))
+    (tmp_path / "three" / "bad.json").write_text("{")
+    with pytest.raises(quality.QualityError, match="1 unreadable"):
+        refresh.run(spark, folder, warehouse, most_errors=0)
+    assert refresh.run(spark, folder, warehouse, most_errors=1).quarantined.count() == 1
 
 
 def test_insert_if_absent_takes_one_of_equal_keys(spark, rows):

@@ -145,6 +145,32 @@ def test_quality_levels(spark):
     assert quality.enforce(warned).first().issue_count == 1
 
 
+def test_checks_taken_while_writing(spark, tmp_path, rows):
+    base = str(tmp_path / "t")
+    checks = [quality.has_rows("has rows"), quality.keys_present(["k"], "keys")]
+    frame = lambda *ks: spark.createDataFrame([(k,) for k in ks], "k INT")
+    table, report = tables.refresh_checked(frame(1, None), base, checks)
+    assert rows(report) == [("has rows", "fail", 0, True), ("keys", "warn", 1, False)] and table.count() == 2
+    with pytest.raises(quality.QualityError, match="has rows"):
+        tables.refresh_checked(frame(1).where("k > 5"), base, checks)
+    assert tables.read_image(spark, base).count() == 2
+    assert len([p for p in (tmp_path / "t").iterdir() if p.name.startswith("image=")]) == 1
+
+
+def test_family_checks_scan_each_table_once(spark, tmp_path, rows):
+    child = spark.createDataFrame([(1, 1), (1, 1), (2, 2), (3, 9), (4, None)], "c INT, k INT")
+    parent = spark.createDataFrame([(1,), (2,), (2,), (5,), (None,)], "k INT")
+    names = ("parents", "children", "lost")
+    assert rows(quality.family_checks(child, parent, "k", "c", names), "check_name", "issue_count") == [("children", 1), ("lost", 1), ("parents", 1)]
+    child.write.parquet(str(tmp_path / "c"))
+    parent.write.parquet(str(tmp_path / "p"))
+    report = quality.family_checks(spark.read.parquet(str(tmp_path / "c")), spark.read.parquet(str(tmp_path / "p")), "k", "c", names)
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") - plan.count("RelationV2") <= 3  # the parent, and the stored counts twice
+    empty = quality.family_checks(child.limit(0), parent.limit(0), "k", "c", names)
+    assert rows(empty, "issue_count") == [(0,), (0,), (0,)]
+
+
 def test_orphans_and_duplicates(spark):
     child = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k INT")
     parent = spark.createDataFrame([(2,)], "k INT")

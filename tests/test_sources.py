@@ -135,3 +135,55 @@ def test_copy_into_from_parquet(spark, tmp_path, rows):
     spark.range(4).write.parquet(str(tmp_path / "p"))
     place = snapshots.Location("p", str(tmp_path / "p"), "parquet")
     assert snapshots.copy_into(spark, place, str(tmp_path / "t"), "id BIGINT")["rows_loaded"] == 4
+
+
+def lines(path, *ids):
+    path.write_text("".join(f'{{"id": {i}}}\n' for i in ids))
+
+
+def test_copy_into_opens_new_files_only(spark, tmp_path, rows):
+    landing, target = tmp_path / "in", str(tmp_path / "t")
+    landing.mkdir()
+    place = snapshots.Location("l", str(landing))
+    lines(landing / "a.json", 1, 2)
+    assert snapshots.copy_into(spark, place, target, "id BIGINT") == {"files_loaded": 1, "rows_loaded": 2, "errors_seen": 0}
+    (landing / "a.json").chmod(0)  # cannot be opened any more (unless run as root), and must not have to be
+    lines(landing / "b.json", 3)
+    (landing / "c.json").write_text("{broken")
+    read = []
+    load = snapshots._load_files
+    try:
+        snapshots._load_files = lambda s, place, paths, *rest: read.extend(paths) or load(s, place, paths, *rest)
+        assert snapshots.copy_into(spark, place, target, "id BIGINT") == {"files_loaded": 2, "rows_loaded": 1, "errors_seen": 1}
+    finally:
+        snapshots._load_files = load
+    assert sorted(p.rsplit("/", 1)[1] for p in read) == ["b.json", "c.json"]
+    assert snapshots.copy_into(spark, place, target, "id BIGINT")["files_loaded"] == 0
+    (landing / "a.json").chmod(0o644)
+    lines(landing / "b.json", 3, 4)  # a changed file is new
+    assert snapshots.copy_into(spark, place, target, "id BIGINT")["rows_loaded"] == 2
+    assert rows(snapshots.read_copied(spark, target), "id") == [(1,), (2,), (3,), (3,), (4,)]
+    assert snapshots.loaded_files(spark, target).count() == 4
+
+
+def test_two_copies_at_once_load_a_file_once(spark, tmp_path, rows, monkeypatch):
+    landing, target, done = tmp_path / "in", str(tmp_path / "t"), []
+    landing.mkdir()
+    place = snapshots.Location("l", str(landing))
+    lines(landing / "a.json", 1)
+
+    def interrupt():
+        if not done:
+            done.append(1)
+            done.append(snapshots.copy_into(spark, place, target, "id BIGINT"))
+            lines(landing / "b.json", 2)
+
+    got = snapshots.copy_into(spark, place, target, "id BIGINT", before_commit=interrupt)
+    assert got["files_loaded"] == 1 and done[1]["files_loaded"] == 1
+    assert rows(snapshots.read_copied(spark, target), "id") == [(1,), (2,)]
+    monkeypatch.setattr(snapshots, "_LEDGER_FOLDERS", 2)
+    for n in range(3, 6):
+        lines(landing / f"{n}.json", n)
+        snapshots.copy_into(spark, place, target, "id BIGINT")
+    assert snapshots.copy_into(spark, place, target, "id BIGINT")["files_loaded"] == 0
+    assert snapshots.loaded_files(spark, target).count() == 5

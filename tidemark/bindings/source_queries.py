@@ -173,6 +173,22 @@ def _(spark, sf):
     )
 
 
+@query(
+    "s04c_copy_skips_loaded_files",
+    """SELECT call, CASE call WHEN 1 THEN (SELECT COUNT(*) FROM events WHERE value < 20) WHEN 3 THEN (SELECT COUNT(*) FROM events WHERE value >= 20)
+  ELSE 0 END::BIGINT AS rows_loaded, (SELECT COUNT(*) FROM events) AS rows_in_table FROM (VALUES (1::BIGINT), (2), (3), (4)) AS t(call)""",
+)
+def _(spark, sf):
+    """Two waves of files, each loaded twice: the ledger leaves loaded files out before they are opened."""
+    path, target = fresh_path(spark, "stage"), fresh_path(spark, "copied")
+    events, stage, loaded = lens.table(spark, sf, "events").select("event_id", "value"), snapshots.Location("waves", path), []
+    for wave in (F.col("value") < 20, F.col("value") >= 20):
+        events.where(wave).write.mode("append").json(path)
+        loaded += [snapshots.copy_into(spark, stage, target, "event_id BIGINT, value DOUBLE")["rows_loaded"] for _twice in range(2)]
+    calls = spark.createDataFrame(list(enumerate(loaded, 1)), "call BIGINT, rows_loaded BIGINT")
+    return calls.withColumn("rows_in_table", snapshots.read_copied(spark, target).agg(F.count("*").alias("n")).scalar())
+
+
 @query(
     "s05_load_statistics",
     f"""SELECT true AS has_files, COUNT_IF(NOT ({_BROKEN}))::BIGINT AS rows_loaded, COUNT_IF({_BROKEN})::BIGINT AS errors_seen FROM lineitem""",

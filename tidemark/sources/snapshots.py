@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date
 
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.session import hadoop_fs
+from tidemark.sinks import commits
+from tidemark.sinks.commits import CommitConflict, Entry
 
 Schema = str | T.StructType
 
@@ -45,7 +48,7 @@ class Location:
 
 
 def read_files(
-    spark: SparkSession, path: str, file_format: str, schema: Schema | None = None, **options: str
+    spark: SparkSession, path: str | list[str], file_format: str, schema: Schema | None = None, **options: str
 ) -> DataFrame:
     """Read JSON, CSV or Parquet files."""
     fmt = file_format.lower()
@@ -207,6 +210,26 @@ def land_snapshots(spark: SparkSession, path: str | list[str], target: str, **op
     return seen.get
 
 
+def listed_files(spark: SparkSession, path: str, file_regex: str | None = None) -> DataFrame:
+    """path, size and modified of the files a reader would take, from the listing alone: no file is opened."""
+    files = spark.read.format("binaryFile").load(path)
+    files = files.select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
+    return files if file_regex is None else files.filter(F.col("path").rlike(file_regex))
+
+
+def loaded_files(spark: SparkSession, target: str, entry: Entry | None = None) -> DataFrame:
+    """The ledger of a table filled by ``copy_into``: path, size, modified and load of every file taken."""
+    entry = entry or commits.current(spark, target)
+    folders = [f"{target}/{folder}" for folder in entry.content["ledger"]] if entry else []
+    if not folders:
+        return spark.createDataFrame([], _LEDGER)
+    return spark.read.schema(_LEDGER).parquet(*folders)
+
+
+_LEDGER = "path STRING, size BIGINT, modified TIMESTAMP, load STRING"
+_LEDGER_FOLDERS = 32
+
+
 def copy_into(
     spark: SparkSession,
     location: Location,
@@ -215,46 +238,99 @@ def copy_into(
     file_regex: str | None = None,
     on_error: str = "CONTINUE",
     force: bool = False,
+    before_commit: Callable[[], None] | None = None,
 ) -> dict[str, int]:
     """Append files of a location to a Parquet table; returns files_loaded, rows_loaded, errors_seen.
 
-    Files that an earlier call has loaded are left out unless ``force`` is set.
-    Rows that cannot be read go to the ``unreadable=true`` part of the load. Each call writes its own
-    ``load=`` folder, and the statistics are read from there: one short column per row.
+    Files in the ledger of the table are left out before any file is opened, unless ``force`` is set; a file whose size or
+    time has changed counts as new. Rows that cannot be read go to the ``unreadable=true`` part of the load. Each call writes its own
+    ``load=`` folder and its ledger, and both count once the commit log names them: a call that fails leaves nothing
+    behind that readers see, and of two calls at once that take the same file the second begins again without it.
+    The paths of the new files pass through the driver, as they do in any file scan.
     """
     if on_error not in ON_ERROR:
         raise ValueError(f"Unsupported on_error: {on_error}")
+    nothing = {"files_loaded": 0, "rows_loaded": 0, "errors_seen": 0}
+    while True:
+        entry = commits.current(spark, target)
+        listing = listed_files(spark, location.path, file_regex)
+        same_file = ["path", "size", "modified"]
+        fresh = listing if force else listing.join(loaded_files(spark, target, entry), same_file, "left_anti")
+        files = sorted(tuple(r) for r in fresh.collect())
+        if not files:
+            return nothing
+        load = f"load-{uuid.uuid4().hex}"
+        facts = _load_files(spark, location, [f[0] for f in files], target, load, schema, on_error)
+        ledger = spark.createDataFrame([(*f, load) for f in files], _LEDGER)
+        ledger.write.parquet(f"{target}/_ledger/{load}")
+        if before_commit is not None:
+            before_commit()
+        if _commit_load(spark, target, entry, load, ledger if not force else None):
+            return facts
+
+
+def _load_files(
+    spark: SparkSession, location: Location, paths: list[str], target: str, load: str, schema: Schema, on_error: str
+) -> dict[str, int]:
+    """Write the rows of some files as one load and count them."""
     options, textual = {}, location.file_format.lower() in ("json", "csv")
     if textual:
         options = {"mode": ON_ERROR[on_error], "columnNameOfCorruptRecord": CORRUPT}
         if on_error == "CONTINUE":
             schema = with_corrupt_text(schema)
-    rows = location.read(spark, schema, **options).withColumn("source_file", F.col("_metadata.file_path"))
-    if file_regex is not None:
-        rows = rows.filter(F.col("source_file").rlike(file_regex))
-    fs, root = hadoop_fs(spark, target)
-    if not force and fs.exists(root):
-        known = spark.read.parquet(target).select("source_file").distinct()
-        rows = rows.join(known, "source_file", "left_anti")
-    load = f"load-{uuid.uuid4().hex}"
+    fs, root = hadoop_fs(spark, location.path)
+    if not any(c in location.path for c in "*?[{") and fs.getFileStatus(root).isDirectory():
+        options["basePath"] = location.path  # folders such as year=2024 stay columns
+    rows = read_files(spark, paths, location.file_format, schema, **options).withColumn("source_file", F.col("_metadata.file_path"))
+    seen = Observation("load")
     (
-        rows.withColumns({"loaded_at": F.localtimestamp(), "load": F.lit(load), "unreadable": is_unreadable(rows)})
-        .write.mode("append")
-        .partitionBy("load", "unreadable")
-        .parquet(target)
+        rows.withColumns({"loaded_at": F.localtimestamp(), "unreadable": is_unreadable(rows)})
+        .observe(
+            seen,
+            F.count_if(~F.col("unreadable")).alias("rows_loaded"),
+            F.count_if("unreadable").alias("errors_seen"),
+        )
+        .write.partitionBy("unreadable")
+        .parquet(f"{target}/load={load}")
     )
-    loaded = spark.read.option("basePath", target).parquet(target).filter(F.col("load") == load)
-    facts = loaded.agg(
-        F.count_distinct("source_file").alias("files_loaded"),
-        F.count_if(F.col("unreadable").cast("string") == "false").alias("rows_loaded"),
-        F.count_if(F.col("unreadable").cast("string") == "true").alias("errors_seen"),
-    ).first()
-    return facts.asDict()
+    return {"files_loaded": len(paths), **seen.get}
+
+
+def _commit_load(spark: SparkSession, target: str, entry: Entry | None, load: str, ledger: DataFrame | None) -> bool:
+    """Make a load visible; False, with its rows removed, if another load has taken one of its files first."""
+    start = entry
+    while True:
+        loads = entry.content["loads"] if entry else []
+        folders = entry.content["ledger"] if entry else []
+        if len(folders) >= _LEDGER_FOLDERS:  # many loads: their ledgers become one
+            folders = [f"_ledger/all-{uuid.uuid4().hex}"]
+            loaded_files(spark, target, entry).write.parquet(f"{target}/{folders[0]}")
+        try:
+            commits.commit(spark, target, entry, {"loads": [*loads, load], "ledger": [*folders, f"_ledger/{load}"]})
+            return True
+        except CommitConflict:
+            entry = commits.current(spark, target)
+            theirs = entry.content["loads"][len(start.content["loads"]) if start else 0 :]
+            taken = loaded_files(spark, target, entry).where(F.col("load").isin(theirs))
+            if ledger is not None and not ledger.drop("load").join(taken, ["path", "size", "modified"], "left_semi").isEmpty():
+                for folder in (f"load={load}", f"_ledger/{load}"):
+                    fs, path = hadoop_fs(spark, f"{target}/{folder}")
+                    fs.delete(path, True)
+                return False
+
+
+def copied(spark: SparkSession, target: str) -> DataFrame:
+    """All rows of the committed loads of a table filled by ``copy_into``, with ``load`` and ``unreadable``."""
+    entry = commits.current(spark, target)
+    if entry is None:
+        raise FileNotFoundError(target)
+    folders = [f"{target}/load={load}" for load in entry.content["loads"]]
+    return spark.read.option("basePath", target).option("mergeSchema", True).parquet(*folders)
 
 
 def read_copied(spark: SparkSession, target: str) -> DataFrame:
     """Readable rows of a table filled by ``copy_into``."""
-    rows = spark.read.parquet(target).filter(F.col("unreadable").cast("string") == "false")
+    rows = copied(spark, target).filter(F.col("unreadable").cast("string") == "false")
     return rows.drop("load", "unreadable", CORRUPT)
 
 
