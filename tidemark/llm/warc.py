@@ -13,8 +13,8 @@ the damage and one row with ``error``.
 
 Edge cases: NULL html is an empty payload; NULL urls are written as ``about:blank``; a NULL page id is chosen as
 response only if all ids of the payload are NULL, and is read back as NULL; of rows with equal ids and payloads one is
-the response; an empty table gives no record; other columns are ignored. An archive holds at most
-``records_per_file`` records and is read by one task.
+the response; an empty table gives no record; other columns are ignored. An archive is bounded by records and bytes
+and is read by one task.
 """
 
 from __future__ import annotations
@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import stored
+
 LEAST_BYTES = 100
 _EMPTY_MEMBER = zlib.compressobj(9, zlib.DEFLATED, 31).flush()
 _CHUNK = 64 * 1024
@@ -37,36 +39,44 @@ FIELDS = "page_id long, url string, record_type string, payload_bytes long, payl
 # --- writing --------------------------------------------------------------------------------------
 
 
-def choose_records(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
+def choose_records(pages: DataFrame, least_bytes: int = LEAST_BYTES, broadcast_rows: int = 1_000_000) -> DataFrame:
     """page_id, url, payload, digest, refers_to, is_revisit of (page_id, url, html).
 
-    Equal payloads meet as counts and smallest ids per digest first; only digests that occur twice are joined back, and a
-    frequent one can be split there.
+    What to write is decided on digests and ids alone: counts and smallest ids per digest, for digests that occur twice.
+    They are broadcast if there are at most ``broadcast_rows`` of them, counted first; beyond that payloads are shuffled
+    once, by digest, where a frequent one can be split. Only pages that repeat an id with its payload are looked at again.
     """
     rows = pages.select(
         "page_id", F.coalesce("url", F.lit("about:blank")).alias("url"), F.coalesce("html", F.lit("")).cast("binary").alias("payload")
     ).withColumn("digest", F.sha2("payload", 256))
     long_enough = F.octet_length("payload") >= least_bytes
-    repeated = (
+    repeated = stored(
         rows.where(long_enough)
         .groupBy("digest", "page_id")
         .agg(F.count("*").alias("n"))
         .groupBy("digest")
         .agg(F.sum("n").alias("n"), F.min("page_id").alias("first_id"), F.min_by("n", F.coalesce("page_id", F.lit(2**63 - 1))).alias("n_first"))
         .where("n > 1")
-        .withColumnRenamed("digest", "_digest")
+        .select(F.col("digest").alias("_digest"), "first_id", "n_first"),
+        "repeated",
     )
-    met = rows.join(repeated, (F.col("digest") == F.col("_digest")) & long_enough, "left")
+    small = repeated.limit(broadcast_rows + 1).count() <= broadcast_rows
+    known = F.broadcast(repeated) if small else repeated
+    met = rows.join(known, (F.col("digest") == F.col("_digest")) & long_enough, "left")
     of_first = F.col("page_id").eqNullSafe(F.col("first_id"))
-    plain = met.where(F.col("_digest").isNull() | (of_first & (F.col("n_first") == 1)) | ~of_first).withColumn(
-        "is_revisit", F.col("_digest").isNotNull() & ~of_first
-    )
-    # rows with the first id and the same payload: one of them is the response
-    order = Window.partitionBy("digest").orderBy("url")
-    same = met.where(F.col("_digest").isNotNull() & of_first & (F.col("n_first") > 1))
-    same = same.withColumn("is_revisit", F.row_number().over(order) > 1)
-    both = plain.unionByName(same)
-    return both.select(
+    out = met.withColumn("is_revisit", F.col("_digest").isNotNull() & ~of_first)
+    several = repeated.where("n_first > 1")
+    if not several.isEmpty():
+        # rows with the first id and the same payload are told apart by url alone; one of each digest is the response
+        out = out.where(F.col("_digest").isNull() | ~of_first | (F.col("n_first") == 1))
+        same = rows.where(long_enough).join(several, (F.col("digest") == F.col("_digest")) & of_first)
+        alike = same.groupBy("page_id", "url", "digest", "_digest", "first_id", "n_first").agg(
+            F.any_value("payload").alias("payload"), F.count("*").alias("copies")
+        )
+        order = Window.partitionBy("digest").orderBy("url")
+        alike = alike.withColumn("place", F.row_number().over(order)).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+        out = out.unionByName(alike.withColumn("is_revisit", (F.col("place") > 1) | (F.col("copy") > 1)).drop("copies", "place", "copy"))
+    return out.select(
         "page_id", "url", "payload", "digest", F.when(F.col("is_revisit"), F.col("first_id")).alias("refers_to"), "is_revisit"
     )
 
@@ -107,21 +117,39 @@ def member_of(record: bytes) -> bytes:
     return member if member[-1] == 0 else member + _EMPTY_MEMBER
 
 
-def _member_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        columns = [batch.column(i) for i in range(batch.num_columns)]
-        for at in range(0, batch.num_rows, 256):
-            rows = zip(*(c.slice(at, 256).to_pylist() for c in columns), strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array([member_of(record_bytes(*r))[:-1] for r in rows], pa.binary())], names=["value"])
+def _members(archive_bytes: int):
+    """Rows as gzip members without their last byte, and the number of the archive within the task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        volume, size = 0, 0
+        for batch in batches:
+            columns = [batch.column(i) for i in range(batch.num_columns)]
+            for at in range(0, batch.num_rows, 256):
+                values, volumes = [], []
+                for row in zip(*(c.slice(at, 256).to_pylist() for c in columns), strict=True):
+                    member = member_of(record_bytes(*row))[:-1]
+                    if size and size + len(member) > archive_bytes:
+                        volume, size = volume + 1, 0
+                    size += len(member) + 1
+                    values.append(member)
+                    volumes.append(volume)
+                yield pa.RecordBatch.from_arrays([pa.array(values, pa.binary()), pa.array(volumes, pa.int32())], names=["value", "volume"])
 
+    return run
 
-def write(pages: DataFrame, path: str, records_per_file: int = 2000, least_bytes: int = LEAST_BYTES) -> None:
-    """Archives of all ``pages`` (page_id, url, html) under ``path``."""
-    members = choose_records(pages, least_bytes).mapInArrow(_member_batches, "value binary")
+
+def write(
+    pages: DataFrame, path: str, records_per_file: int = 2000, least_bytes: int = LEAST_BYTES, archive_bytes: int = 64 * 1024 * 1024
+) -> None:
+    """Archives of all ``pages`` (page_id, url, html) under ``path``.
+
+    An archive has at most ``records_per_file`` records and ``archive_bytes`` bytes, or a single record.
+    """
+    members = choose_records(pages, least_bytes).mapInArrow(_members(archive_bytes), "value binary, volume int")
     # the writer takes the bytes of a string as they are
-    members.select(F.col("value").cast("string").alias("value")).write.option("lineSep", "\0").option(
+    members.select(F.col("value").cast("string").alias("value"), "volume").write.option("lineSep", "\0").option(
         "maxRecordsPerFile", records_per_file
-    ).text(path)
+    ).partitionBy("volume").text(path)
 
 
 # --- reading --------------------------------------------------------------------------------------
