@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import queries, warc
+from tidemark.llm import languages, mixing, queries, simhash, templates, warc
 
 
 def saved_table(spark, folder, name, rows, schema):
@@ -58,3 +58,57 @@ def test_warc_repeated_rows_and_bounds(spark, tmp_path):
     path = str(tmp_path / "e")
     warc.write(spark.createDataFrame([], PAGES), path)
     assert warc.read(spark, path).count() == 0
+
+
+def test_short_items_remove_nothing(spark, tmp_path):
+    item = "The quick brown fox jumps over the lazy dog near 12 old barns"
+    docs = [
+        (1, "Well yes, that is so.", "s", "a"),
+        (2, "In passing: the answer is not known to anyone.", "s", "a"),
+        (3, f"Before it. {item}. After it, yes.", "s", "a"),
+        (4, item.replace("12", "77"), "s", "a"),
+        (5, "What is the capital of France? Paris.", "s", "a"),
+    ]
+    bench = [(10, "Yes"), (11, "the answer is"), (12, item), (13, "What is the capital of France?")]
+    saved_table(spark, tmp_path, "documents", docs, "doc_id long, text string, source string, _id string")
+    folder = saved_table(spark, tmp_path, "benchmark", bench, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.contaminated, r.item_words) for r in queries.op9_template_decontamination(spark, folder).collect()}
+    assert got == {(1, 10): (False, 1), (2, 11): (False, 3), (3, 10): (False, 1), (3, 12): (True, 13), (4, 12): (True, 13), (5, 13): (True, 6)}
+    rows = spark.read.parquet(f"{folder}/documents.parquet")
+    kept = templates.without_contaminated(rows, spark.read.parquet(f"{folder}/benchmark.parquet"))
+    assert kept.columns == rows.columns and sorted(r.doc_id for r in kept.collect()) == [1, 2]
+
+
+CLASHES = ["_id", "_key", "_n", "key", "row", "copy_no", "found_id", "kept_key", "size", "expected", "copies", "fp", "group", "n"]
+
+
+def test_columns_with_the_names_used_inside(spark):
+    text = " ".join(f"word{i}" for i in range(40))
+    rows = [(i, text if i % 2 else f"{text} more {i}", "a" if i % 3 else None, *["x"] * len(CLASHES)) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"`{c}` string" for c in CLASHES))
+    once = simhash.one_of_each(docs)
+    assert once.columns == docs.columns and once.count() >= 1 and once.where("doc_id % 2 = 1").count() <= 1
+    bench = spark.createDataFrame([(1, text)], "item_id long, text string")
+    assert templates.without_contaminated(docs, bench).columns == docs.columns
+    mixed = mixing.mix(docs)
+    assert mixed.columns == [*docs.columns, "copy_no_1"] and mixed.count() > 0
+    assert mixing.mix(docs.drop("copy_no")).columns[-1] == "copy_no"
+
+
+def test_a_language_of_most_texts(spark):
+    """The sample of a language is that of its smallest hashes, however it is ranked."""
+    rows = [(f"text number {i} here", "en") for i in range(3000)] + [(f"texte {i} ici", "fr") for i in range(40)]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    found = languages.learn(docs, profile_size=50, sample_per_language=30)
+    kept = [r.text for lang in ("en", "fr") for r in docs.where(F.col("lang") == lang).orderBy(F.xxhash64("text")).limit(30).collect()]
+    assert found == languages.learn(docs.where(F.col("text").isin(kept)), profile_size=50, sample_per_language=30)
+
+
+def test_pipeline_without_labels(spark, tmp_path):
+    """Without a label no language is known: documents with a letter stay."""
+    import corpus_pipeline
+
+    rows = [(1, "some words", None, "a"), (2, "12 34", None, "a"), (3, None, None, "a"), (4, "", "en", "a"), (5, "été", None, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    kept = corpus_pipeline.language_id(spark, docs, "")
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 5] and kept.columns == docs.columns

@@ -32,6 +32,8 @@ _BITS = 21
 _BLANK = ord(" ")
 #: Characters counted at once; the counts of the parts of a longer text are added up.
 _PART = 1 << 20
+#: Parts in which the hashes of a language are ranked before they are ranked together.
+_SALTS = 64
 
 
 @cache
@@ -122,9 +124,13 @@ def learn(
     """{language: {n-gram: rank}} from (lang, text) rows."""
     texts = labelled.where("lang is not null and text is not null").select("lang", "text", F.xxhash64("text").alias("h"))
     # hashes alone find where the sample ends, so no other text is shuffled
+    salted = texts.select("lang", "h", F.pmod("h", F.lit(_SALTS)).alias("salt")).distinct()
+    # first the smallest of each salt, so that a language of most texts is not ranked by one task
+    least = F.row_number().over(Window.partitionBy("lang", "salt").orderBy("h"))
+    few = salted.withColumn("place", least).where(F.col("place") <= sample_per_language)
     order = Window.partitionBy("lang").orderBy("h")
-    distinct = texts.select("lang", "h").distinct().withColumn("place", F.row_number().over(order))
-    ends = {r["lang"]: r["h"] for r in distinct.where(F.col("place") == sample_per_language).collect()}
+    ranks = few.withColumn("place", F.row_number().over(order)).where(F.col("place") == sample_per_language)
+    ends = {r["lang"]: r["h"] for r in ranks.collect()}
     inside = F.lit(True)
     for lang, end in ends.items():
         inside = inside & ((F.col("lang") != lang) | (F.col("h") <= end))

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACE
+from tidemark.llm.common import SPACE, free_name, packed, unpacked
 from tidemark.session import stored
 
 #: Sums of expected copies are exact: 12 digits after the point, at most 26 before it.
@@ -123,17 +123,10 @@ def _planned(sized: DataFrame, seed: int, **shares) -> DataFrame:
 def mix(docs: DataFrame, seed: int = 10, **shares) -> DataFrame:
     """The mixed documents: each row of ``docs`` as often as it is taken, numbered by ``copy_no`` from 1.
 
-    Documents without words are never asked for, so their copies are left out.
+    Documents without words are never asked for, so their copies are left out. If ``docs`` has a column ``copy_no``, the number
+    is ``copy_no_1``, and so on.
     """
-    names = docs.columns
-    packed = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"),
-        F.col("doc_id"),
-        F.col("source"),
-        size_of(F.col("text")).alias("size"),
-    )
-    mixed = _planned(packed, seed, **shares).where("copies > 0 and size > 0")
-    return mixed.select(
-        *[F.col("row").getField(c).alias(c) for c in names],
-        F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))).alias("copy_no"),
-    )
+    rows = packed(docs, doc_id=F.col("doc_id"), source=F.col("source"), size=size_of(F.col("text")))
+    mixed = _planned(rows, seed, **shares).where("copies > 0 and size > 0")
+    numbers = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))
+    return unpacked(mixed, docs.columns, **{free_name(docs.columns, "copy_no"): numbers})

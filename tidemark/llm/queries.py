@@ -164,7 +164,8 @@ def op9_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         "first_word",
         "n_slots",
         "consistent",
-        (F.col("consistent") & (F.col("n_windows") >= 1)).alias("contaminated"),
+        templates.counts().alias("contaminated"),
+        "item_words",
     )
 
 

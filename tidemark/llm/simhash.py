@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import codes
-from tidemark.llm.common import text_key
+from tidemark.llm.common import packed, text_key, unpacked
 from tidemark.llm.graph import components
 from tidemark.llm.runs import complete_runs
 from tidemark.session import stored
@@ -219,11 +219,12 @@ def one_of_each(docs: DataFrame, shingle: int = 3, tile: int = 4096) -> DataFram
     """One row of each class, all columns kept: the smallest doc_id, of equal ids the smallest text hash."""
     rank = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("key"), F.lit(0))
     kept = _classes(docs.select("doc_id", "text"), shingle, tile).groupBy("group").agg(F.min(rank).alias("best"))
-    kept = kept.select(F.col("best.doc_id").alias("_id"), F.col("best.key").alias("_key"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (text_key(F.coalesce("text", F.lit(""))) == F.col("_key"))
-    stays = stored(docs.join(kept, same, "left_semi"), "kept")
+    kept = kept.select(F.col("best.doc_id").alias("kept_id"), F.col("best.key").alias("kept_key"))
+    same = F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("key") == F.col("kept_key"))
+    rows = packed(docs, id=F.col("doc_id"), key=text_key(F.coalesce("text", F.lit(""))))
+    stays = stored(rows.join(kept, same, "left_semi"), "kept")
     # rows equal in id and text both come through; only those are gathered
-    again = stays.groupBy("doc_id", text_key(F.coalesce("text", F.lit(""))).alias("_key")).agg(F.count("*").alias("_n"))
-    again = again.where("_n > 1").select(F.col("doc_id").alias("_id"), "_key")
+    again = stays.groupBy(F.col("id").alias("kept_id"), F.col("key").alias("kept_key")).agg(F.count("*").alias("n"))
+    again = again.where("n > 1").drop("n")
     single = stays.join(again, same, "left_anti")
-    return single.unionByName(stays.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"]))
+    return unpacked(single.unionByName(stays.join(again, same, "left_semi").dropDuplicates(["id", "key"])), docs.columns)

@@ -14,16 +14,19 @@ first; beyond that the two sides are shuffled by hash. Slots are read again for
 
 Edge cases: NULL and empty texts have no window; an item shorter than a window is one window of its
 length, which is looked for at every place of a document; rows are told apart by
-doc_id (NULL included) and two hashes of the text, so repeated rows give one result row; item_id can be NULL; other
-columns are ignored.
+doc_id (NULL included) and two hashes of the text, so repeated rows give one result row; item_id can be NULL; items of
+fewer than ``LEAST_WORDS`` words are reported with ``item_words`` but do not make a document contaminated; other
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACE, let, text_key
+from tidemark.llm.common import let, packed, text_key, unpacked
 from tidemark.session import stored
 
 #: Units read as such behind a number.
@@ -36,36 +39,52 @@ UNITS = (
 ).split()
 
 # a cheap test of the character comes before the look at what stands around it
-_NAME = r"\p{Lu}(?<=[\p{L}\p{N},;:]\x20.)\p{Ll}[\p{L}'’-]*"
+_NAME = r"(\p{Lu}(?<=[\p{L}\p{N},;:]\x20.)\p{Ll}[\p{L}'’-]*)"
 _NUMBER = r"(?=[$€£+\-\p{Nd}])(?<!\p{L})[$€£+-]?\p{Nd}+(?:[.,]\p{Nd}+)*%?(?!\p{L})"
-_UNIT = r"(?i)<num>\x20(?:" + "|".join(sorted(UNITS, key=lambda u: (-len(u), u))) + r")(?![\p{L}\p{N}])"
-# placeholders stand as single private characters while the other marks go
+_UNIT = r"(?i)<num>\x20((?:" + "|".join(sorted(UNITS, key=lambda u: (-len(u), u))) + r")(?![\p{L}\p{N}]))"
+# private characters: one before a name, one for a number, one before a unit
 _NAME_MARK, _NUMBER_MARK, _UNIT_MARK = "\ue000", "\ue001", "\ue002"
 _KEPT = _NAME_MARK + _NUMBER_MARK + _UNIT_MARK
+_BLANKS = "\t\n\x0b\f\r"
 
 
 def _clean(text: Column) -> Column:
     """The text with single blanks and without the characters kept for placeholders."""
-    text = F.regexp_replace(F.coalesce(text, F.lit("")), SPACE, " ")
+    text = F.translate(F.coalesce(text, F.lit("")), _BLANKS, " " * len(_BLANKS))
+    text = F.when(F.contains(text, F.lit("  ")), F.regexp_replace(text, " {2,}", " ")).otherwise(text)
     reserved = [F.contains(text, F.lit(c)) for c in _KEPT]
     return F.when(reserved[0] | reserved[1] | reserved[2], F.translate(text, _KEPT, "")).otherwise(text)
 
 
 def _split(text: Column) -> Column:
-    return F.array_remove(F.split(text, SPACE), "")
+    return F.array_remove(F.split(text, " "), "")
 
 
-def canonical_words(text: Column, typed: bool = True) -> Column:
-    """Canonical words of a text; as many as ``slot_words`` has. Words made of marks alone are in neither.
+def marked_words(text: Column) -> Column:
+    """Words of a text without marks and case: numbers as a placeholder, names and units behind their mark.
 
-    Without ``typed``, numbers alone become placeholders.
+    There are as many as ``slot_words`` has. Words made of marks alone are in neither.
     """
-    body = F.regexp_replace(_clean(text), _NAME, _NAME_MARK) if typed else _clean(text)
+    body = F.regexp_replace(_clean(text), _NAME, f"{_NAME_MARK}$1")
     body = F.regexp_replace(body, _NUMBER, _NUMBER_MARK)
-    if typed:
-        body = F.regexp_replace(body, _UNIT.replace("<num>", _NUMBER_MARK), f"{_NUMBER_MARK} {_UNIT_MARK}")
-    body = F.regexp_replace(F.lower(body), rf"[^\p{{L}}\p{{N}}{_KEPT}\x20\x09-\x0D]+", "")
-    return _split(body)
+    body = F.regexp_replace(body, _UNIT.replace("<num>", _NUMBER_MARK), f"{_NUMBER_MARK} {_UNIT_MARK}$1")
+    return _split(F.regexp_replace(F.lower(body), rf"[^\p{{L}}\p{{N}}{_KEPT} ]+", ""))
+
+
+def plain_words(marked: Column) -> Column:
+    """Marked words with names and units as they are: only numbers are placeholders."""
+    return F.transform(marked, lambda w: F.translate(w, _NAME_MARK + _UNIT_MARK, ""))
+
+
+def typed_words(marked: Column) -> Column:
+    """Marked words with a placeholder in place of each name and unit."""
+    name, unit = F.lit(_NAME_MARK), F.lit(_UNIT_MARK)
+    return F.transform(marked, lambda w: F.when(F.contains(w, name), name).when(F.contains(w, unit), unit).otherwise(w))
+
+
+def canonical_words(text: Column, typed: bool = True) -> Column:
+    """Canonical words of a text. Without ``typed``, numbers alone become placeholders."""
+    return typed_words(marked_words(text)) if typed else plain_words(marked_words(text))
 
 
 def slot_words(text: Column) -> Column:
@@ -79,64 +98,78 @@ def _is_slot(word: Column) -> Column:
 
 def window_hashes(words: Column, width: int) -> Column:
     """Hash of each window of ``width`` words by its place; none if there are fewer words."""
+    return let(F.transform(words, lambda w: F.xxhash64(w)), lambda each: _windows(each, width))
 
-    def of(each: Column) -> Column:
-        last = F.size(each) - width
-        return F.when(last < 0, F.array().cast("array<bigint>")).otherwise(
-            F.transform(
-                F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
-                lambda i: F.xxhash64(*[F.get(each, i + k) for k in range(width)]),
-            )
-        )
 
-    return let(F.transform(words, lambda w: F.xxhash64(w)), of)
+def _windows(each: Column, width: int) -> Column:
+    """Hash of each window of hashes."""
+    last = F.size(each) - width
+    return F.when(last < 0, F.array().cast("array<bigint>")).otherwise(
+        F.transform(
+            F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
+            lambda i: F.xxhash64(*[F.get(each, i + k) for k in range(width)]),
+        )
+    )
 
 
-def _keys(width: int, verbatim_words: Column) -> Column:
-    """(at, window, both, mode) of each window of ``typed``, ``plain`` and ``verbatim_words``; ``both`` if typed and plain are one."""
+def _keys(width: int, plain: Column, typed: Column, verbatim_words: Column) -> Column:
+    """(at, window, both, mode) of each window of ``plain``, ``typed`` (NULL where it is the same) and ``verbatim_words``;
+    ``both`` if plain and typed are one."""
     numbers = F.xxhash64(*[F.xxhash64(F.lit(_NUMBER_MARK))] * width)
 
-    def of(hashes: Column) -> Column:
-        def plain(x: Column, i: Column) -> Column:
-            same = F.xxhash64(F.lit("same"), x["verbatim"])
-            window = F.when(x["plain"] == numbers, same).otherwise(x["plain"])
-            return F.struct(i.alias("at"), window.alias("window"), (x["plain"] == x["typed"]).alias("both"), F.lit(0).alias("mode"))
-
-        def typed(x: Column, i: Column) -> Column:
-            return F.when(
-                x["plain"] != x["typed"],
-                F.struct(i.alias("at"), x["typed"].alias("window"), F.lit(False).alias("both"), F.lit(1).alias("mode")),
-            )
+    def entry(at: Column, window: Column, both: Column, mode: int) -> Column:
+        return F.struct(at.alias("at"), window.alias("window"), both.alias("both"), F.lit(mode).alias("mode"))
 
-        return F.concat(F.transform(hashes, plain), F.filter(F.transform(hashes, typed), lambda x: x.isNotNull()))
-
-    def zipped(plain: Column) -> Column:
+    def numbers_alone(plain: Column, each: Callable[[Column, Column], Column]) -> Column:
         # the words as they stand are read only for texts with a window of numbers alone
-        verbatim = F.when(F.array_contains(plain, numbers), window_hashes(verbatim_words, width)).otherwise(
-            F.array().cast("array<bigint>")
+        def with_words(verbatim: Column) -> Column:
+            same = lambda x, i: F.when(x == numbers, F.xxhash64(F.lit("same"), F.get(verbatim, i))).otherwise(x)
+            return F.transform(plain, lambda x, i: each(same(x, i), i))
+
+        return F.when(F.array_contains(plain, numbers), let(window_hashes(verbatim_words, width), with_words)).otherwise(
+            F.transform(plain, each)
         )
-        return F.arrays_zip(window_hashes(F.col("typed"), width).alias("typed"), plain.alias("plain"), verbatim.alias("verbatim"))
 
-    return let(let(window_hashes(F.col("plain"), width), zipped), of)
+    def both_kinds(plain: Column) -> Column:
+        def with_typed(typed: Column) -> Column:
+            first = numbers_alone(plain, lambda x, i: entry(i, x, F.get(plain, i) == F.get(typed, i), 0))
+            other = F.transform(typed, lambda x, i: F.when(x != F.get(plain, i), entry(i, x, F.lit(False), 1)))
+            return F.concat(first, F.filter(other, lambda x: x.isNotNull()))
+
+        alone = numbers_alone(plain, lambda x, i: entry(i, x, F.lit(True), 0))
+        return F.when(typed.isNull(), alone).otherwise(let(_windows(typed, width), with_typed))
+
+    return let(_windows(plain, width), both_kinds)
+
+
+def _word_hashes(marked: Column) -> tuple[Column, Column]:
+    """Hashes of the plain words, and of the typed ones or NULL if they are the same."""
+    has_types = F.exists(marked, lambda w: F.contains(w, F.lit(_NAME_MARK)) | F.contains(w, F.lit(_UNIT_MARK)))
+    hashed = lambda words: F.transform(words, lambda w: F.xxhash64(w))
+    plain = F.when(has_types, hashed(plain_words(marked))).otherwise(hashed(marked))
+    return plain, F.when(has_types, hashed(typed_words(marked)))
 
 
 def matches(
     docs: DataFrame, benchmark: DataFrame, width: int = 8, min_literals: int = 5, broadcast_rows: int = 1_000_000
 ) -> DataFrame:
-    """doc_id, text_key, item_id, n_windows, first_word, n_slots, consistent: one row per document and item that share windows.
+    """doc_id, text_key, item_id, item_words, n_windows, first_word, n_slots, consistent: one row per document and item that share windows.
 
-    ``docs`` has doc_id and text, ``benchmark`` item_id and text.
+    ``docs`` has doc_id and text, ``benchmark`` item_id and text. Items of any length are matched; ``contaminated`` says which count.
     """
-    words = [canonical_words(F.col("text"), typed).alias(name) for name, typed in (("typed", True), ("plain", False))]
-    items = benchmark.select("item_id", F.col("text").alias("item_text"), *words, slot_words(F.col("text")).alias("verbatim"))
-    items = items.where(F.size("typed") > 0)
-    items = items.withColumn("width", F.least(F.size("typed"), F.lit(width)))
+    marked = marked_words(F.col("text"))
+    items = benchmark.select("item_id", F.col("text").alias("item_text"), marked.alias("marked"), slot_words(F.col("text")).alias("verbatim"))
+    items = items.where(F.size("marked") > 0)
+    items = items.withColumn("typed", typed_words(F.col("marked"))).withColumn("plain", plain_words(F.col("marked")))
+    items = items.withColumn("width", F.least(F.size("marked"), F.lit(width)))
     # the lengths of short items; documents have windows of these lengths too
     widths = sorted({width, *(r.width for r in items.select("width").distinct().collect())})
     key = F.array().cast("array<struct<at:int,window:bigint,both:boolean,mode:int>>")
     for w in widths:
-        key = F.when(F.col("width") == w, _keys(w, F.col("verbatim"))).otherwise(key)
-    spread = items.select("item_id", F.xxhash64("item_text").alias("item_key"), "width", F.inline(key)).select(
+        key = F.when(F.col("width") == w, _keys(w, F.col("plain_hashes"), F.col("typed_hashes"), F.col("verbatim"))).otherwise(key)
+    plain, typed = _word_hashes(F.col("marked"))
+    hashed = items.withColumn("plain_hashes", plain).withColumn("typed_hashes", typed)
+    spread = hashed.select("item_id", F.xxhash64("item_text").alias("item_key"), "width", F.inline(key)).select(
         "window",
         "item_id",
         "item_key",
@@ -146,9 +179,14 @@ def matches(
     )
     spread = spread.dropDuplicates()
     small = spread.limit(broadcast_rows + 1).count() <= broadcast_rows
-    keyed = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), "text", *words)
-    keys = F.concat(*[_keys(w, slot_words(F.col("text"))) for w in widths])
-    keyed = keyed.select("doc_id", "text_key", F.inline(keys)).select("doc_id", "text_key", "at", "window")
+
+    def document_keys(marked: Column) -> Column:
+        plain, typed = _word_hashes(marked)
+        of = lambda p, t: F.concat(*[_keys(w, p, t, slot_words(F.col("text"))) for w in widths])
+        return let(F.struct(plain.alias("p"), typed.alias("t")), lambda x: of(x["p"], x["t"]))
+
+    keyed = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), F.inline(let(marked, document_keys)))
+    keyed = keyed.select("doc_id", "text_key", "at", "window")
     found = keyed.join(F.broadcast(spread) if small else spread, "window").withColumn("mode", F.explode("modes"))
     # one row per run: overlapping windows of a passage share their alignment and follow each other
     aligned = ["doc_id", "text_key", "item_id", "item_key", "width", "mode", "shift"]
@@ -208,6 +246,7 @@ def _checked(docs: DataFrame, items: DataFrame, runs: DataFrame, min_literals: i
     )
     judged = both.withColumn("pairs", pairs).select(
         *["doc_id", "text_key", "item_id", "item_key", "width", "mode", "shift", "first_at"],
+        F.size("item_words").alias("item_size"),
         (F.col("last_at") - F.col("first_at") + 1).alias("windows"),
         F.size("pairs").alias("slots"),
         (F.col("last_at") - F.col("first_at") + F.col("width") - F.size("pairs")).alias("literals"),
@@ -220,8 +259,10 @@ def _checked(docs: DataFrame, items: DataFrame, runs: DataFrame, min_literals: i
         F.min("first_at").alias("first_at"),
         F.sum("slots").alias("slots"),
         F.bool_or("agrees").alias("agrees"),
+        F.max("item_size").alias("item_size"),
     )
     return aligned.groupBy("doc_id", "text_key", "item_id").agg(
+        F.max("item_size").cast("bigint").alias("item_words"),
         F.max("n_windows").cast("bigint").alias("n_windows"),
         F.min("first_at").cast("bigint").alias("first_word"),
         F.max("slots").cast("bigint").alias("n_slots"),
@@ -229,14 +270,25 @@ def _checked(docs: DataFrame, items: DataFrame, runs: DataFrame, min_literals: i
     )
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, min_windows: int = 1, **options) -> DataFrame:
-    """The matches that count: consistent slots and at least ``min_windows`` shared windows in one alignment."""
-    return matches(docs, benchmark, **options).where(F.col("consistent") & (F.col("n_windows") >= min_windows))
+#: Items with fewer words are matched and reported, but remove no document: such a phrase stands anywhere by chance.
+LEAST_WORDS = 5
+
+
+def counts(least_words: int = LEAST_WORDS, min_windows: int = 1) -> Column:
+    """Whether a row of ``matches`` makes its document contaminated."""
+    return F.col("consistent") & (F.col("n_windows") >= min_windows) & (F.col("item_words") >= least_words)
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, min_windows: int = 1, least_words: int = LEAST_WORDS, **options) -> DataFrame:
+    """The matches that count: consistent slots, at least ``min_windows`` shared windows in one alignment, and an item
+    of at least ``least_words`` words."""
+    return matches(docs, benchmark, **options).where(counts(least_words, min_windows))
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that match no benchmark item, all columns kept."""
     found = contaminated(docs.select("doc_id", "text"), benchmark, **options)
-    found = found.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).dropDuplicates()
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (text_key(F.col("text")) == F.col("_key"))
-    return docs.join(found, same, "left_anti")
+    found = found.select(F.col("doc_id").alias("found_id"), F.col("text_key").alias("found_key")).dropDuplicates()
+    rows = packed(docs, id=F.col("doc_id"), key=text_key(F.col("text")))
+    same = F.col("id").eqNullSafe(F.col("found_id")) & (F.col("key") == F.col("found_key"))
+    return unpacked(rows.join(found, same, "left_anti"), docs.columns)
