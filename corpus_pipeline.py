@@ -1,8 +1,8 @@
 """From raw documents to a training mix: five stages, each written as Parquet and read again by the next.
 
 A stage takes (spark, docs, sf_dir) and returns the documents it keeps with the columns of ``docs``; the last one adds
-``copy_no``. Rows with NULL or letterless texts go in the first stage; all other edge cases are those of the
-operators.
+``copy_no`` (``copy_no_1`` if the documents have such a column). Rows with NULL or letterless texts go in the first stage,
+labelled or not; all other edge cases are those of the operators.
 """
 
 from __future__ import annotations
@@ -16,8 +16,14 @@ from tidemark.session import fresh_path
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which a language is found, by profiles of the labelled ones."""
+    """Documents in which a language is found, by profiles of the labelled ones.
+
+    Rejected are NULL texts and those without a letter. If no document has a label there is no profile to compare
+    with, and every document with a letter stays.
+    """
     profiles = languages.learn(docs)
+    if not profiles:
+        return docs.where(F.coalesce(F.rlike("text", F.lit(r"\p{L}")), F.lit(False)))
     return docs.where(languages.identify(F.col("text"), profiles)["lang"] != languages.UNDEFINED)
 
 
