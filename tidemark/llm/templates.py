@@ -112,42 +112,74 @@ def _windows(each: Column, width: int) -> Column:
     )
 
 
-def _keys(width: int, plain: Column, typed: Column, verbatim_words: Column) -> Column:
-    """(at, window, both, mode) of each window of ``plain``, ``typed`` (NULL where it is the same) and ``verbatim_words``;
-    ``both`` if plain and typed are one."""
-    numbers = F.xxhash64(*[F.xxhash64(F.lit(_NUMBER_MARK))] * width)
+def _item_keys(width: int, plain: Column, typed: Column, verbatim: Column) -> Column:
+    """(at, window, both, mode) of each window of an item, by the hashes of its words; ``both`` if plain and typed are one."""
 
     def entry(at: Column, window: Column, both: Column, mode: int) -> Column:
         return F.struct(at.alias("at"), window.alias("window"), both.alias("both"), F.lit(mode).alias("mode"))
 
-    def numbers_alone(plain: Column, each: Callable[[Column, Column], Column]) -> Column:
-        # the words as they stand are read only for texts with a window of numbers alone
-        def with_words(verbatim: Column) -> Column:
-            same = lambda x, i: F.when(x == numbers, F.xxhash64(F.lit("same"), F.get(verbatim, i))).otherwise(x)
-            return F.transform(plain, lambda x, i: each(same(x, i), i))
+    def both_kinds(w: Column) -> Column:
+        keyed = F.transform(w["plain"], lambda x, i: entry(i, _told_apart(x, F.get(w["verbatim"], i), width), x == F.get(w["typed"], i), 0))
+        other = F.transform(w["typed"], lambda x, i: F.when(x != F.get(w["plain"], i), entry(i, x, F.lit(False), 1)))
+        return F.concat(keyed, F.filter(other, lambda x: x.isNotNull()))
 
-        return F.when(F.array_contains(plain, numbers), let(window_hashes(verbatim_words, width), with_words)).otherwise(
-            F.transform(plain, each)
-        )
+    windows = F.struct(
+        _windows(plain, width).alias("plain"), _windows(typed, width).alias("typed"), window_hashes(verbatim, width).alias("verbatim")
+    )
+    return let(windows, both_kinds)
+
+
+def _numbers_alone(width: int) -> Column:
+    return F.xxhash64(*[F.xxhash64(F.lit(_NUMBER_MARK))] * width)
+
+
+def _told_apart(window: Column, verbatim: Column, width: int) -> Column:
+    """The hash of a window; one of numbers alone has that of the numbers, so that it meets equal numbers only."""
+    return F.when(window == _numbers_alone(width), F.xxhash64(F.lit("same"), verbatim)).otherwise(window)
+
+
+def _hashed(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
 
-    def both_kinds(plain: Column) -> Column:
-        def with_typed(typed: Column) -> Column:
-            first = numbers_alone(plain, lambda x, i: entry(i, x, F.get(plain, i) == F.get(typed, i), 0))
-            other = F.transform(typed, lambda x, i: F.when(x != F.get(plain, i), entry(i, x, F.lit(False), 1)))
-            return F.concat(first, F.filter(other, lambda x: x.isNotNull()))
 
-        alone = numbers_alone(plain, lambda x, i: entry(i, x, F.lit(True), 0))
-        return F.when(typed.isNull(), alone).otherwise(let(_windows(typed, width), with_typed))
+def _typed_places(marked: Column) -> Column:
+    """Places of names and units."""
+    name, unit = F.lit(_NAME_MARK), F.lit(_UNIT_MARK)
+    places = F.transform(marked, lambda w, i: F.when(F.contains(w, name) | F.contains(w, unit), i))
+    return F.filter(places, lambda i: i.isNotNull())
+
+
+def _document_keys(widths: list[int], text: Column) -> Column:
+    """(at, window) of all plain windows of a text, and of the typed ones that hold a name or unit; the others are the same."""
+
+    def of_width(width: int, marked: Column, places: Column, plain: Column) -> Column:
+        last = F.size(marked) - width
 
-    return let(_windows(plain, width), both_kinds)
+        def key(at: Column, window: Column) -> Column:
+            return F.struct(at.alias("at"), window.alias("window"))
 
+        def plain_keys(windows: Column) -> Column:
+            # the words as they stand are read only for texts with a window of numbers alone
+            told = lambda words: F.transform(windows, lambda x, i: key(i, _told_apart(x, F.get(words, i), width)))
+            return F.when(F.array_contains(windows, _numbers_alone(width)), let(window_hashes(slot_words(text), width), told)).otherwise(
+                F.transform(windows, lambda x, i: key(i, x))
+            )
 
-def _word_hashes(marked: Column) -> tuple[Column, Column]:
-    """Hashes of the plain words, and of the typed ones or NULL if they are the same."""
-    has_types = F.exists(marked, lambda w: F.contains(w, F.lit(_NAME_MARK)) | F.contains(w, F.lit(_UNIT_MARK)))
-    hashed = lambda words: F.transform(words, lambda w: F.xxhash64(w))
-    plain = F.when(has_types, hashed(plain_words(marked))).otherwise(hashed(marked))
-    return plain, F.when(has_types, hashed(typed_words(marked)))
+        def typed_key(at: Column) -> Column:
+            words = _hashed(typed_words(F.slice(marked, at + 1, width)))
+            return key(at, let(words, lambda w: F.xxhash64(*[F.get(w, F.lit(k)) for k in range(width)])))
+
+        around = F.transform(places, lambda p: F.sequence(F.greatest(p - (width - 1), F.lit(0)), p))
+        starts = F.filter(F.array_distinct(F.flatten(around)), lambda at: at <= last)
+        typed = F.transform(starts, typed_key)
+        return F.concat(let(_windows(plain, width), plain_keys), typed)
+
+    def of_text(x: Column) -> Column:
+        marked, places = x["marked"], x["places"]
+        plain = F.when(F.size(places) > 0, _hashed(plain_words(marked))).otherwise(_hashed(marked))
+        return let(plain, lambda plain: F.concat(*[of_width(w, marked, places, plain) for w in widths]))
+
+    return let(let(marked_words(text), lambda m: F.struct(m.alias("marked"), _typed_places(m).alias("places"))), of_text)
 
 
 def matches(
@@ -166,10 +198,8 @@ def matches(
     widths = sorted({width, *(r.width for r in items.select("width").distinct().collect())})
     key = F.array().cast("array<struct<at:int,window:bigint,both:boolean,mode:int>>")
     for w in widths:
-        key = F.when(F.col("width") == w, _keys(w, F.col("plain_hashes"), F.col("typed_hashes"), F.col("verbatim"))).otherwise(key)
-    plain, typed = _word_hashes(F.col("marked"))
-    hashed = items.withColumn("plain_hashes", plain).withColumn("typed_hashes", typed)
-    spread = hashed.select("item_id", F.xxhash64("item_text").alias("item_key"), "width", F.inline(key)).select(
+        key = F.when(F.col("width") == w, _item_keys(w, _hashed(F.col("plain")), _hashed(F.col("typed")), F.col("verbatim"))).otherwise(key)
+    spread = items.select("item_id", F.xxhash64("item_text").alias("item_key"), "width", F.inline(key)).select(
         "window",
         "item_id",
         "item_key",
@@ -180,13 +210,7 @@ def matches(
     spread = spread.dropDuplicates()
     small = spread.limit(broadcast_rows + 1).count() <= broadcast_rows
 
-    def document_keys(marked: Column) -> Column:
-        plain, typed = _word_hashes(marked)
-        of = lambda p, t: F.concat(*[_keys(w, p, t, slot_words(F.col("text"))) for w in widths])
-        return let(F.struct(plain.alias("p"), typed.alias("t")), lambda x: of(x["p"], x["t"]))
-
-    keyed = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), F.inline(let(marked, document_keys)))
-    keyed = keyed.select("doc_id", "text_key", "at", "window")
+    keyed = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), F.inline(_document_keys(widths, F.col("text"))))
     found = keyed.join(F.broadcast(spread) if small else spread, "window").withColumn("mode", F.explode("modes"))
     # one row per run: overlapping windows of a passage share their alignment and follow each other
     aligned = ["doc_id", "text_key", "item_id", "item_key", "width", "mode", "shift"]
