@@ -67,7 +67,8 @@ def marked_words(text: Column) -> Column:
     """
     body = F.regexp_replace(_clean(text), _NAME, f"{_NAME_MARK}$1")
     body = F.regexp_replace(body, _NUMBER, _NUMBER_MARK)
-    body = F.regexp_replace(body, _UNIT.replace("<num>", _NUMBER_MARK), f"{_NUMBER_MARK} {_UNIT_MARK}$1")
+    with_units = F.regexp_replace(body, _UNIT.replace("<num>", _NUMBER_MARK), f"{_NUMBER_MARK} {_UNIT_MARK}$1")
+    body = F.when(F.contains(body, F.lit(_NUMBER_MARK)), with_units).otherwise(body)
     return _split(F.regexp_replace(F.lower(body), rf"[^\p{{L}}\p{{N}}{_KEPT} ]+", ""))
 
 
