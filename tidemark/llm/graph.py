@@ -37,7 +37,8 @@ def _forward(edges: DataFrame) -> DataFrame:
 
 def _towards_minimum(edges: DataFrame, larger: bool) -> DataFrame:
     """Per node a of ``edges``: link its neighbours b (larger than a, or all) to the smallest of a and its neighbours."""
-    least = edges.groupBy(F.col("a").alias("hub")).agg(F.least(F.min("b"), F.first("a")).alias("least"))
+    # stored, so that the join does not take over the exchange of the grouping and a hub's edges can be split
+    least = stored(edges.groupBy(F.col("a").alias("hub")).agg(F.least(F.min("b"), F.first("a")).alias("least")), "least")
     met = edges.join(least, F.col("a") == F.col("hub"))
     if larger:
         return met.where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b"))
