@@ -175,6 +175,33 @@ def test_secret_scan(spark, odd, empty):
     assert odd.select(secrets.scan(F.col("text"), None).alias("s")).where("size(s) > 0").count() == 0
 
 
+def test_field_finds_secrets_without_keyword(spark):
+    """Held out: names, beginnings and values that training does not make; text without secrets stays clean."""
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9))) for _ in range(900)]
+
+    def prose(n):
+        return " ".join(w.title() + "." if rng.random() < 0.1 else w for w in rng.choices(words, k=n))
+
+    train = [(i, "\n".join(prose(30) for _ in range(4))) for i in range(300)]
+    train += [(1000 + i, f"{prose(8)} password = {rng.getrandbits(100):x}g {prose(5)}") for i in range(60)]
+    field = secrets.learn(spark.createDataFrame(train, "doc_id long, text string").repartition(7))
+    decoder = secrets.Decoder(field)
+    planted = []
+    for i in range(300):
+        value = "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=rng.randint(20, 44)))
+        before = ["", "db_cred=", "hook: ", "deploy_key = ", "rk_test_", "session='"][i % 6]
+        head = prose(12) + " " + before
+        planted.append((len(head), len(head) + len(value), head + value + " " + prose(9)))
+    hit = sum(any(a < e and s < b for a, k, b in secrets.all_spans(t, decoder) if k == 3) for s, e, t in planted)
+    assert hit >= 0.9 * len(planted), hit
+    clean = [prose(60) + f" {rng.randint(10**9, 10**15)} 2024-03-{i % 28 + 1:02} ann.{i}@mail{i % 9}.example.com 10.0.{i % 250}.7" for i in range(300)]
+    assert sum(bool(secrets.all_spans(t, decoder)) for t in clean) <= 3
+    assert secrets.all_spans("password=abcd1234efgh", decoder) == secrets.pattern_spans("password=abcd1234efgh")
+    again = secrets.learn(spark.createDataFrame(train[::-1], "doc_id long, text string").repartition(3))
+    assert (again.weights == field.weights).all()
+
+
 # --- fingerprints ---------------------------------------------------------------------------------
 
 

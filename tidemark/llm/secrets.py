@@ -2,16 +2,20 @@
 
 The patterns find assignments, access keys and long hexadecimal strings. The field tags each token as
 outside, begin or inside of a secret by its shape, length, characters and prefix, the tokens around it and
-features of the whole file. It is trained here, on at most ``sample_lines`` lines with a pattern match and twice
-as many of any kind (those with the smallest hash), and adds the spans that Viterbi decoding finds where
-no pattern matched.
+features of the whole file. It adds the spans that Viterbi decoding finds where no pattern matched.
+
+There are no labelled secrets, so the field is trained here on lines of the corpus: at most ``sample_lines`` lines with a
+pattern match, in half of them the keyword replaced by a name that no pattern knows, and at most twice as many lines of
+any kind, one of a text. Into half of the latter a secret made up by a rule is written, with such a name or without one, and into
+all of them things that look alike and are none (numbers, dates, names of files, hosts and variables). Lines and what is written into
+them depend only on hashes, so a field of the same corpus is the same.
 
 Decoding is exact and skips what cannot matter: a token whose best other label loses against "outside"
 by more than any pair of transitions could win back is outside in every best path, so Viterbi runs only on the short
 runs between such tokens. Scores are summed from a table by token, so common tokens are computed once.
 
 Edge cases: NULL and empty texts have no span; matches of different kinds may overlap and all stay; added spans
-never overlap them; repeated rows give repeated results; without any match to learn from only
+never overlap them; repeated rows give repeated results; without any line to learn from only
 the patterns apply; other columns are ignored.
 """
 
@@ -210,9 +214,9 @@ def train(lines: list[tuple[list[str], list[int], list[str]]], rounds: int = 3,
     return Field(weights[:SLOTS].astype(np.float32), between, frozenset(seen))
 
 
-def tagged(line: str) -> tuple[list[str], list[int], list[str]]:
-    """Tokens and labels of a line by its pattern spans."""
-    spans = pattern_spans(line)
+def tagged(line: str, spans: list[Span] | None = None) -> tuple[list[str], list[int], list[str]]:
+    """Tokens and labels of a line by ``spans``, or by its pattern spans."""
+    spans = sorted(pattern_spans(line) if spans is None else spans)
     tokens, labels = [], []
     for m in _TOKEN.finditer(line):
         inside = next((s for s in spans if s[0] < m.end() and m.start() < s[2]), None)
@@ -221,24 +225,114 @@ def tagged(line: str) -> tuple[list[str], list[int], list[str]]:
     return tokens, labels, file_features(tokens)
 
 
+#: Names before a secret in training that no pattern knows, and beginnings that services give to their keys.
+NAMES = ("client_key", "pwd", "passphrase", "auth", "credential", "private_key", "access", "signing-key", "bearer", "pass", "login")
+BEGINNINGS = ("ghp_", "sk_live_", "xoxb-", "glpat-", "npm_", "SG.")
+_LOWER, _UPPER, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+
+
+def made_secret(rng: np.random.Generator) -> str:
+    """A secret of random characters with letters and digits, maybe with the beginning of a service."""
+    alphabet = (_LOWER + _UPPER + _DIGITS, _LOWER + _UPPER + _DIGITS + "+/_-", _LOWER + _DIGITS, _UPPER + _DIGITS, "abcdef" + _DIGITS)
+    letters = list(alphabet[rng.integers(len(alphabet))])
+    while True:
+        value = "".join(rng.choice(letters, int(rng.integers(16, 49))))
+        if sum(c.isdigit() for c in value) > 1 and sum(c.isalpha() for c in value) > 1:
+            return (rng.choice(BEGINNINGS) if rng.random() < 0.25 else "") + value
+
+
+def _lookalike(rng: np.random.Generator) -> str:
+    """Something with digits or signs that is no secret."""
+
+    def word() -> str:
+        return "".join(rng.choice(list(_LOWER), int(rng.integers(3, 9))))
+
+    n = lambda low, high: int(rng.integers(low, high))
+    return (
+        str(n(10**9, 10**16)),
+        f"{n(1990, 2040)}-{n(1, 13):02}-{n(1, 29):02}",
+        f"{n(1, 255)}.{n(0, 255)}.{n(0, 255)}.{n(1, 255)}",
+        f"{word()}.{n(1, 99)}@{word()}{n(1, 9)}.{word()}.com",
+        f"https://{word()}.{word()}.org/{word()}/{word()}-{n(1, 999)}.html",
+        f"/{word()}/{word()}/{word()}_{n(1, 99)}.txt",
+        f"{word()}_{word()}_{word()}",
+        f"{word().title()}{word().title()}{word().title()}",
+        f"v{n(1, 20)}.{n(0, 20)}.{n(0, 20)}",
+        f"{word()}{n(1, 2040)}",
+        "".join(rng.choice(list(_LOWER), n(12, 40))),
+        f"{word()} = {n(1, 10**6)}",
+        f"{rng.choice(NAMES)}: {word()} {word()}",
+        f"+{n(1, 99)} ({n(0, 999):03}) {n(100, 999)}-{n(1000, 9999)}",
+    )[n(0, 14)]
+
+
+def _hidden_keyword(line: str, rng: np.random.Generator) -> tuple[list[str], list[int], list[str]]:
+    """The line tagged by its spans, each keyword replaced by a name that no pattern knows."""
+    spans = pattern_spans(line)
+    name = str(rng.choice(NAMES))
+    for m in reversed(list(ASSIGN.finditer(line))):
+        shift = len(name) - len(m.group(1))
+        line = line[: m.start(1)] + name + line[m.end(1) :]
+        spans = [(a + shift, k, b + shift) if a >= m.end(1) else (a, k, b) for a, k, b in spans]
+    return tagged(line, spans)
+
+
+def _written_into(line: str, rng: np.random.Generator, secret: bool) -> tuple[list[str], list[int], list[str]]:
+    """The line tagged by its spans, with things written between its words: a secret or not, and things that look alike."""
+    ends = [0, *(m.end() for m in re.finditer(r"\S+", line))]
+    spans = pattern_spans(line)
+
+    def put(before: str, value: str, hidden: bool) -> None:
+        nonlocal line, spans
+        at = int(rng.choice([e for e in ends if not any(a < e < b for a, _, b in spans)] or [0]))
+        new = f" {before}{value} "
+        spans = [(a + len(new), k, b + len(new)) if a >= at else (a, k, b) for a, k, b in spans]
+        if hidden:
+            spans.append((at + 1 + len(before), 3, at + 1 + len(before) + len(value)))
+        line = line[:at] + new + line[at:]
+        ends[:] = [e + len(new) if e > at else e for e in ends]
+
+    for _ in range(2):
+        put("", _lookalike(rng), False)
+    if secret:
+        sign = rng.choice(["=", " = ", ": ", ":", ' = "', "='", " "])
+        put(f"{rng.choice(NAMES)}{sign}" if rng.random() < 0.6 else "", made_secret(rng), True)
+    return tagged(line, spans)
+
+
 def learn(docs: DataFrame, sample_lines: int = 400, longest: int = 1500) -> Field | None:
-    """A field from lines of ``docs``; None if no line has a match. Lines above ``longest`` characters are not sampled."""
+    """A field from lines of ``docs``; None if there is no line. Lines above ``longest`` characters are not sampled.
+
+    A sample is the smallest hash of each of ``sample_lines`` (or twice as many) ranges of hashes, found by aggregation: so
+    many rows reach the driver, whatever the number of tasks.
+    """
 
-    def lines_of(docs: DataFrame) -> DataFrame:
-        return docs.select(F.explode(F.split("text", "\n")).alias("line")).where(F.length("line").between(1, longest))
+    def short_lines(text: Column) -> Column:
+        return F.filter(F.split(text, "\n"), lambda x: F.length(x).between(1, longest))
 
-    def some(lines: DataFrame, n: int) -> list[str]:
-        rows = lines.select("line", F.xxhash64("line").alias("h")).orderBy("h", "line").limit(n).collect()
-        return sorted({r["line"] for r in rows})
+    def one_each(rows: DataFrame, n: int) -> DataFrame:
+        """(h): the smallest hash of every range."""
+        return rows.groupBy(F.pmod("h", F.lit(n)).alias("range")).agg(F.min("h").alias("h"))
 
     # a keyword is found faster than the whole pattern
     lower = F.lower("text")
     hopeful = F.contains("text", F.lit("AKIA")) | F.rlike("text", F.lit("[0-9a-f]{32}"))
     for word in _KEYWORDS:
         hopeful = hopeful | F.contains(lower, F.lit(word))
-    matching = some(lines_of(docs.where(hopeful)).where(F.rlike("line", F.lit(_LINE))), sample_lines)
-    # lines of any kind; the few that match are tagged like the others
-    examples = [tagged(x) for x in [*matching, *some(lines_of(docs), 2 * sample_lines)]] if matching else []
+    lines = docs.where(hopeful).select(F.explode(short_lines(F.col("text"))).alias("line")).where(F.rlike("line", F.lit(_LINE)))
+    hashed = lines.select("line", F.xxhash64("line").alias("h"))
+    found = hashed.groupBy(F.pmod("h", F.lit(sample_lines)).alias("range")).agg(F.min(F.struct("h", "line"))["line"].alias("line"))
+    matching = sorted(r["line"] for r in found.select("line").collect())
+    # texts are chosen by their hashes, and only those are split into lines
+    texts = docs.where("text is not null").select("text", F.xxhash64("text").alias("h"))
+    chosen = [r["h"] for r in one_each(texts, 2 * sample_lines).collect()]
+    first = F.array_min(F.transform(short_lines(F.col("text")), lambda x: F.struct(F.xxhash64(x).alias("h"), x.alias("line"))))
+    some = texts.where(F.col("h").isin(chosen)).select("h", first["line"].alias("line"))
+    usual = sorted(r["line"] for r in some.where("line is not null").groupBy("h").agg(F.min("line").alias("line")).collect())
+
+    rng = np.random.default_rng(11)
+    examples = [_hidden_keyword(x, rng) if i % 2 else tagged(x) for i, x in enumerate(matching)]
+    examples += [_written_into(x, rng, i % 2 == 1) for i, x in enumerate(usual)]
     examples = [x for x in examples if x[0]]
     return train(examples) if any(BEGIN in x[1] for x in examples) else None
 
