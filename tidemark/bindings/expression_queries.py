@@ -12,13 +12,14 @@ from tidemark.bindings import lens
 from tidemark.bindings.lens import ALL_TABLES_SQL, DOCUMENTS_SQL, MARKETS_SQL, RAW_CONTRACTS_SQL, RAW_SQL, TABLES_SQL
 from tidemark.bindings.registry import big, date_text, dbl, query, rnd, ts
 from tidemark.functions import columns as c
-from tidemark.operators import aggregate
+from tidemark.operators import aggregate, sketches
 from tidemark.operators.flatten import array_length, flatten_contracts
 from tidemark.operators.joins import with_children, with_match, without_match
 from tidemark.operators.latest import keep_latest_rows, latest_per_key
 from tidemark.operators.merge import mark_stale
 from tidemark.operators.quality import issue_counts
 from tidemark.plans import reports
+from tidemark.session import stored
 
 M = lens.markets
 C = lens.contracts
@@ -362,6 +363,22 @@ _register(
 )
 
 
+@query(
+    "g3b_approximate_distinct",
+    "SELECT l_returnflag, l_linestatus, COUNT(DISTINCT l_partkey) AS parts, true AS within FROM lineitem GROUP BY ROLLUP (1, 2)",
+)
+def _(spark, sf):
+    """Sketches stored per flag, status and day, united for coarser keys without the lines; within 2 % of the exact count."""
+    lines = T(spark, sf, "lineitem")
+    keys = ["l_returnflag", "l_linestatus"]
+    days = stored(sketches.distinct_sketches(lines, [*keys, "l_shipdate"], "l_partkey"), "sketches")
+    exact = lines.rollup(*keys).agg(F.count_distinct("l_partkey").alias("parts"), F.grouping_id().alias("level"))
+    coarse = [sketches.united(days, keys[:n]).withColumns({k: F.lit(None).cast("string") for k in keys[n:]} | {"level": F.lit(2 ** (2 - n) - 1)}) for n in (0, 1, 2)]
+    about = reduce(DataFrame.unionByName, coarse).select(*[F.col(k).alias(f"_{k}") for k in (*keys, "level")], sketches.estimate().alias("about"))
+    same = (F.col("level") == F.col("_level")) & F.expr(" AND ".join(f"{k} <=> _{k}" for k in keys))
+    return exact.join(about, same).select(*keys, "parts", (F.abs(F.col("about") - F.col("parts")) <= 0.02 * F.col("parts")).alias("within"))
+
+
 @query("g3_count_distinct", "SELECT l_returnflag, COUNT(DISTINCT l_partkey) AS parts FROM lineitem GROUP BY 1")
 def _(spark, sf):
     return T(spark, sf, "lineitem").groupBy("l_returnflag").agg(F.count_distinct("l_partkey").alias("parts"))
@@ -561,7 +578,6 @@ def _(spark, sf):
 def _(spark, sf):
     """Two levels into JSON text, over whole documents."""
     parsed = lens.document_text(spark, sf).select(F.try_parse_json("value").alias("raw"))
-    names = [
-        parsed.select(c.variant_path("raw", f"$.data.markets[{i}].name", "string").alias("market_name")) for i in (0, 1)
-    ]
-    return reduce(DataFrame.unionByName, names).groupBy("market_name").agg(F.count("*").alias("n"))
+    markets = parsed.select(F.explode(c.variant_path("raw", "$.data.markets", "array<variant>")).alias("market"))
+    names = markets.select(c.variant_path("market", "$.name", "string").alias("market_name"))
+    return names.groupBy("market_name").agg(F.count("*").alias("n"))

@@ -414,14 +414,14 @@ def _(spark, sf):
 
 @query(
     "k13_keep_latest_rows",
-    f"""WITH {RAW_SQL} SELECT market_id, {ts('extraction_timestamp')} AS extraction_timestamp, COUNT(*) AS copies
-FROM raw r WHERE extraction_timestamp = (SELECT MAX(extraction_timestamp) FROM raw x WHERE x.market_id = r.market_id)
-GROUP BY market_id, r.extraction_timestamp""",
+    f"""WITH {RAW_SQL} SELECT market_id, market_name, short_name, market_url, market_status, n_contracts::BIGINT AS n_contracts,
+  {ts('extraction_timestamp')} AS extraction_timestamp
+FROM raw r WHERE extraction_timestamp = (SELECT MAX(extraction_timestamp) FROM raw x WHERE x.market_id = r.market_id)""",
 )
 def _(spark, sf):
-    rows = lens.raw(spark, sf).select("market_id", "extraction_timestamp")
-    kept = latest.keep_latest_rows(rows, "market_id", "extraction_timestamp")
-    return kept.groupBy("market_id", "extraction_timestamp").agg(F.count("*").alias("copies"))
+    kept = latest.keep_latest_rows(lens.raw(spark, sf), "market_id", "extraction_timestamp")
+    number = F.array_size("contract_data").cast("bigint").alias("n_contracts")
+    return kept.select("market_id", "market_name", "short_name", "market_url", "market_status", number, "extraction_timestamp")
 
 
 _STALE_SQL = f"""WITH {MARKETS_SQL}, seen AS (SELECT DISTINCT l_orderkey AS market_id FROM lineitem

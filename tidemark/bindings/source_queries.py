@@ -19,8 +19,8 @@ from tidemark.functions.columns import rounded
 from tidemark.operators import quality
 from tidemark.operators.flatten import flatten_snapshots
 from tidemark.plans import model, refresh, reports, upkeep
-from tidemark.session import fresh_path
-from tidemark.sinks import files, tables
+from tidemark.session import fresh_path, hadoop_fs, stored
+from tidemark.sinks import files, manifest, tables
 from tidemark.sinks.managed import ManagedTable, by_hash, by_value
 from tidemark.sources import feeds, snapshots
 from tidemark.sources import tables as table_sources
@@ -91,14 +91,14 @@ def read_documents(spark, sf, **options):
 @query(
     "s01_document_scan",
     f"""SELECT {ts('l_shipdate')} AS extracted_at, 'feed/' || l_suppkey AS source, 2 AS n_markets,
-       l_orderkey * 10 + l_linenumber AS first_market FROM lineitem""".replace("2 AS", "CAST(2 AS BIGINT) AS"),
+       (l_orderkey * 10 + l_linenumber) || ',' || ({lens.PART_MARKETS} + l_partkey) AS markets FROM lineitem""".replace("2 AS", "CAST(2 AS BIGINT) AS"),
 )
 def _(spark, sf):
     return read_documents(spark, sf).select(
         "extracted_at",
         "source",
         F.size("data.markets").alias("n_markets"),
-        F.col("data.markets")[0]["id"].alias("first_market"),
+        F.array_join(F.transform("data.markets", lambda m: m["id"].cast("string")), ",").alias("markets"),
     )
 
 
@@ -283,13 +283,17 @@ def _(spark, sf):
     )
 
 
-@query("s10_full_reload", "SELECT market_id, COUNT(*) AS copies FROM (" + DOCUMENTS_SQL + "SELECT market_id FROM raw) GROUP BY 1")
+@query(
+    "s10_full_reload",
+    DOCUMENTS_SQL + "SELECT market_id, COUNT(*) AS copies, CAST(COALESCE(SUM(n_contracts), 0) AS BIGINT) AS contracts FROM raw GROUP BY 1",
+)
 def _(spark, sf):
-    """Loading the same files twice leaves one copy of each row."""
+    """Loading the same files twice leaves one copy of each row, contracts included."""
     base = fresh_path(spark, "reload")
     for _round in range(2):
-        rows = tables.refresh(flatten_snapshots(read_documents(spark, sf)).drop("contract_data"), base)
-    return rows.groupBy("market_id").agg(F.count("*").alias("copies"))
+        rows = tables.refresh(flatten_snapshots(read_documents(spark, sf)), base)
+    number = F.coalesce(F.array_size("contract_data"), F.lit(0))
+    return rows.groupBy("market_id").agg(F.count("*").alias("copies"), F.sum(number).cast("bigint").alias("contracts"))
 
 
 def _waves(spark, sf):
@@ -450,12 +454,11 @@ def _(spark, sf):
 @query(
     "k03_csv_sink",
     DOCUMENTS_SQL
-    + """SELECT market_id AS id, market_name AS name, n_contracts IS NULL AS no_contracts FROM raw WHERE market_url LIKE '/lines/%'""",
+    + "SELECT market_id AS id, market_name AS name, n_contracts IS NULL AS no_contracts FROM raw",
 )
 def _(spark, sf):
     """The markets array becomes rows, nested arrays JSON text."""
-    lines = lens.documents(spark, sf).select(F.slice("data.markets", 1, 1).alias("markets"))
-    path = files.save_csv(lines, fresh_path(spark, "csv"))
+    path = files.save_csv(lens.documents(spark, sf).select("data.markets"), fresh_path(spark, "csv"))
     read = spark.read.option("header", True).option("escape", '"').csv(path)
     return read.select(F.col("id").cast("bigint").alias("id"), "name", F.col("contracts").isNull().alias("no_contracts"))
 
@@ -712,6 +715,26 @@ def _(spark, sf):
     return quality.landed_files(spark, event_lake(spark, sf))
 
 
+@query(
+    "dq9b_landing_manifest",
+    "SELECT event_type, COUNT(*) AS documents, CAST(2 AS BIGINT) AS lost FROM events GROUP BY 1",
+)
+def _(spark, sf):
+    """Landed events, counted; then the file of the smallest path goes missing and that of the largest is emptied."""
+    path = fresh_path(spark, "landing")
+    files.save_by_date(event_documents(spark, sf), path, "extracted_at")
+    manifest.record(spark, path)
+    read = spark.read.schema("data STRUCT<event_type: STRING>").json(path)
+    counted = stored(read.groupBy(F.col("data.event_type").alias("event_type")).agg(F.count("*").alias("documents")), "counted")
+    first, last = manifest.recorded(spark, path).agg(F.min("path"), F.max("path")).first()
+    fs, place = hadoop_fs(spark, first)
+    fs.delete(place, False)
+    fs, place = hadoop_fs(spark, last)
+    fs.create(place, True).close()
+    lost = manifest.issues(spark, path).where("issue = 'lost'").agg(F.count("*").alias("n"))
+    return counted.withColumn("lost", lost.scalar())
+
+
 @query(
     "dq10_keys_and_references",
     f"""WITH d AS (SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY ALL HAVING COUNT(*) > 1),
