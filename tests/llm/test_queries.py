@@ -3,10 +3,11 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import languages, mixing, queries, simhash, templates, warc
+from tidemark.llm import languages, mixing, queries, simhash, templates, warc, windows
 
 
 def saved_table(spark, folder, name, rows, schema):
@@ -112,3 +113,36 @@ def test_pipeline_without_labels(spark, tmp_path):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     kept = corpus_pipeline.language_id(spark, docs, "")
     assert sorted(r.doc_id for r in kept.collect()) == [1, 5] and kept.columns == docs.columns
+
+
+@pytest.mark.parametrize("vocabulary", [30, 10**6])
+def test_window_pairs_against_brute_force(vocabulary):
+    """Passages found in runs of windows: those with a similar passage in another row, whatever pairs were left out."""
+    rng, length = np.random.default_rng(4), 8
+    contents, runs, starts = [], [], [0]
+    for run in range(25):
+        base = [rng.integers(1, vocabulary, 2 * length - 1).astype(np.uint32) for _ in range(2)]
+        for _ in range(int(rng.integers(2, 14))):
+            row = base[rng.integers(2)].copy()
+            for _ in range(rng.poisson(1.0)):
+                row[rng.integers(len(row))] = rng.integers(1, vocabulary)
+            back, ahead = (length - 1, length - 1) if rng.random() < 0.6 else (length - 1, int(rng.integers(0, length)))
+            at = np.arange(-(length - 1), length)
+            row[(at < -back) | (at > ahead)] = 0
+            contents.append(row)
+            runs.append(run)
+        starts.append(len(contents))
+    n = len(contents)
+    columns = {"content": [c.tobytes() for c in contents], "ka": np.arange(n), "kb": np.zeros(n, np.int64), "place": np.full(n, 50 << 20)}
+    got = np.zeros((n, length), bool)
+    for i, j, first, last, other_first, other_last in windows.run_links(columns, np.array(starts), length, 0.8):
+        for row, a, b in [*zip(i, first, last, strict=True), *zip(j, other_first, other_last, strict=True)]:
+            got[row, a : b + 1] = True
+    sets = [[set(c[s : s + length].tolist()) if (c[s : s + length] != 0).all() else None for s in range(length)] for c in contents]
+    want = np.zeros((n, length), bool)
+    for one in range(n):
+        for other in range(n):
+            if one != other and runs[one] == runs[other]:
+                for s, x in enumerate(sets[one]):
+                    want[one, s] |= x is not None and any(y is not None and len(x & y) >= 0.8 * len(x | y) - 1e-9 for y in sets[other])
+    assert want.any() and (got == want).all()
