@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 
 import numpy as np
 import pytest
@@ -146,3 +147,45 @@ def test_window_pairs_against_brute_force(vocabulary):
                 for s, x in enumerate(sets[one]):
                     want[one, s] |= x is not None and any(y is not None and len(x & y) >= 0.8 * len(x | y) - 1e-9 for y in sets[other])
     assert want.any() and (got == want).all()
+
+
+# --- secrets --------------------------------------------------------------------------------------
+
+#: Patterns as the contract of op6 words them, with their least lengths and the group that is measured.
+SECRETS = {
+    "assign": (r"""(?ai:(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+))""", 8, 2),
+    "access": (r"AKIA[A-Z0-9]+", 16, 0),
+    "hex": (r"[0-9a-f]+", 32, 0),
+}
+
+
+def base_secrets(text):
+    found = [
+        (m.start(), k, m.end())
+        for k, (pattern, least, group) in enumerate(SECRETS.values())
+        for m in re.finditer(pattern, text or "")
+        if len(m.group(group)) >= least
+    ]
+    return sorted(found)
+
+
+def test_secret_query(spark, tmp_path):
+    """Counts and digest of the base spans, each all that its pattern matched, on odd texts, NULLs and repeated rows."""
+    rng = random.Random(4)
+    parts = ["password", "PassWord", "ſecret", "to\u212aen", "token", "api_key", "APIKEY", "api__key", "=", ":", " ", '"', "'", "\n", "\t"]
+    parts += ["abcdefgh", "AKIA", "AKIA" + "B2" * 8, "deadbeef" * 4, "0f" * 20, "é", "😀", "\0", "-", ".", "x"]
+    texts = [None, "", " ", 'token = "' + "0a" * 20 + '"', "secret=AKIA" + "A1" * 8, "token=secret=abcdefgh", "password=abc token=abcdefghi"]
+    texts += ["".join(rng.choices(parts, k=rng.randint(1, 30))) for _ in range(800)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(3, texts[3]), (None, texts[4])]
+    folder = saved_table(spark, tmp_path, "documents", rows, "doc_id long, text string")
+    got = queries.op6_secret_field(spark, folder)
+    columns = ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256"]
+    assert [got.schema[c].dataType.simpleString() for c in columns] == ["bigint"] * 4 + ["string"]
+    want = []
+    for doc, text in rows:
+        base = base_secrets(text)
+        joined = ",".join(f"{list(SECRETS)[k]}:{a}:{b}" for a, k, b in base)
+        want.append((doc, *[sum(s[1] == k for s in base) for k in range(3)], hashlib.sha256(joined.encode()).hexdigest()))
+    assert sorted((tuple(r) for r in got.select(*columns).collect()), key=repr) == sorted(want, key=repr)
+    texts = {(r.doc_id, r.spans) for r in got.select("doc_id", "spans").collect()}
+    assert (3, "assign:0:49,hex:9:49") in texts

@@ -47,12 +47,13 @@ OUTSIDE, BEGIN, INSIDE = 0, 1, 2
 Span = tuple[int, int, int]  # start, kind, end
 
 
-def pattern_spans(text: str) -> list[Span]:
-    """Spans of the three patterns by start, then kind. An assignment's span is its value."""
+def pattern_spans(text: str, whole: bool = False) -> list[Span]:
+    """Spans of the three patterns by start, then kind. An assignment's span is its value, or with ``whole`` all that matched."""
     spans: list[Span] = []
     lower = text.lower()
     if any(k in lower for k in _KEYWORDS):
-        spans += [(m.start(2), 0, m.end(2)) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 8]
+        first = 0 if whole else 2
+        spans += [(m.start(first), 0, m.end()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 8]
     if "AKIA" in text:
         spans += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 16]
     spans += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
@@ -463,8 +464,8 @@ class Decoder:
         return [(a, b) for a, b in spans if b - a >= self.least_chars]
 
 
-def all_spans(text: str, decoder: Decoder | None) -> list[Span]:
-    base = pattern_spans(text)
+def all_spans(text: str, decoder: Decoder | None, whole: bool = False) -> list[Span]:
+    base = pattern_spans(text, whole)
     added = decoder.spans(text) if decoder else []
     free = [(a, 3, b) for a, b in added if not any(s < b and a < e for s, _, e in base)]
     return sorted(base + free)
@@ -473,15 +474,19 @@ def all_spans(text: str, decoder: Decoder | None) -> list[Span]:
 _SPANS = "array<struct<start: int, kind: int, end: int>>"
 
 
-def scan(text: Column, field: Field | None) -> Column:
-    """Column of all spans (start, kind, end) of a text column, kind being a place in ``KINDS``."""
+def scan(text: Column, field: Field | None, whole: bool = False) -> Column:
+    """Column of all spans (start, kind, end) of a text column, kind being a place in ``KINDS``.
+
+    With ``whole`` an assignment's span begins at its keyword.
+    """
 
     @F.pandas_udf(_SPANS)
     def spans(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         decoder = Decoder(field) if field else None
         for texts in batches:
             yield pd.Series(
-                [[{"start": a, "kind": k, "end": b} for a, k, b in all_spans(t, decoder)] if t else [] for t in texts], dtype=object
+                [[{"start": a, "kind": k, "end": b} for a, k, b in all_spans(t, decoder, whole)] if t else [] for t in texts],
+                dtype=object,
             )
 
     return spans(text)
