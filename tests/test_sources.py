@@ -1,11 +1,14 @@
 import gzip
 import json
-from datetime import date
+from datetime import date, datetime
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators import quality
 from tidemark.plans import refresh
+from tidemark.sinks import files
 from tidemark.sources import feeds, snapshots, tables
 
 
@@ -187,3 +190,24 @@ def test_two_copies_at_once_load_a_file_once(spark, tmp_path, rows, monkeypatch)
         snapshots.copy_into(spark, place, target, "id BIGINT")
     assert snapshots.copy_into(spark, place, target, "id BIGINT")["files_loaded"] == 0
     assert snapshots.loaded_files(spark, target).count() == 5
+
+
+def test_landed_documents_are_compressed_and_bounded(spark, tmp_path, monkeypatch):
+    """What the queries land as text is a fraction of the plain text, in files of bounded length, and holds every document."""
+    from tidemark.bindings import lens, source_queries
+
+    lines = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_tax double, l_discount double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    day = datetime(1997, 5, 6)
+    rows = [(i, i % 90, i % 7, i % 5, float(i % 50), i % 9 / 100, i % 10 / 100, "NAR"[i % 3], "OF"[i % 2], day) for i in range(1000)]
+    spark.createDataFrame(rows, lines).coalesce(1).write.parquet(str(tmp_path / "lineitem.parquet"))
+    monkeypatch.setattr(files, "ROWS_PER_FILE", 100)
+    monkeypatch.setattr(source_queries, "_LANDED", {})
+    plain = files.save_json(lens.documents(spark, str(tmp_path)), str(tmp_path / "plain"))
+    size = lambda path: sum(f.stat().st_size for f in Path(path).rglob("part-*"))
+    for landed in (source_queries.document_files(spark, str(tmp_path)), source_queries.broken_files(spark, str(tmp_path))):
+        assert size(landed) * 4 < size(plain)
+        texts = spark.read.text(landed)
+        assert texts.count() == 1000
+        assert texts.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0] <= 100
+    whole = {r.value for r in spark.read.text(plain).collect()}
+    assert {r.value for r in spark.read.text(source_queries.document_files(spark, str(tmp_path))).collect()} == whole
