@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.bindings import lens
 from tidemark.operators import aggregate, joins, latest, merge
+from tidemark.bindings import lens
 from tidemark.plans import model, reports
 from tidemark.sinks import files
 from tidemark.sources import snapshots
@@ -134,3 +135,16 @@ def test_no_python_in_plans(spark):
     raw = lens.raw(spark, SF)
     for df in (model.market_summary(raw), model.contract_details(raw), reports.price_distribution(lens.contracts(spark, SF))):
         assert "Python" not in plan(df) and "Pandas" not in plan(df)
+
+
+def test_documents_are_built_in_tasks_of_bounded_size(spark, tmp_path, monkeypatch):
+    """One row group, a part holding a third of its rows: dealt over many tasks, each far from the whole; no row lost."""
+    monkeypatch.setattr(lens, "ROWS_PER_TASK", 500)
+    monkeypatch.setattr(lens, "RUN", 200)
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    hot = F.when(F.col("l_orderkey") % 3 == 0, F.lit(7)).otherwise(F.col("l_partkey")).cast("bigint")
+    lines.withColumn("l_partkey", hot).coalesce(1).write.parquet(str(tmp_path / "lineitem.parquet"))
+    documents = lens.documents(spark, str(tmp_path))
+    sizes = [r.n for r in documents.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    total = lines.count()
+    assert sum(sizes) == total and len(sizes) >= total // 1000 and max(sizes) <= 1500

@@ -190,20 +190,29 @@ def _contracts(count: Column, market: Column, old_names: bool) -> Column:
     return F.transform(F.slice(F.array(*steps), F.lit(1), count), contract)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows dealt over all cores when the scan has fewer tasks than cores.
+#: Line items in one task that builds documents; a document has two markets and up to five contracts, which are sorted in the task.
+ROWS_PER_TASK = 400_000
+#: Rows of one scan task, in their order, within which lines of one part are dealt together.
+RUN = 1_000_000
 
-    A small table in one row group is read by one task; building documents from it would keep
-    the other cores idle. Larger scans are left as they are.
+
+def spread(df: DataFrame, near: str) -> DataFrame:
+    """Rows dealt over tasks of bounded size, at least one for each core; rows alike in ``near`` mostly meet.
+
+    The tasks of a scan follow the row groups: a large group is one task however many splits there are, which
+    keeps other cores idle and makes sorts of what is built from it spill. Rows are dealt by ``near`` within a run
+    of rows, so a value held by many rows is dealt over many tasks.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    tasks = max(cores, -(-df.count() // ROWS_PER_TASK))  # the count comes from the footers
+    run = F.floor(F.monotonically_increasing_id() / RUN)
+    return df.withColumn("_run", run).repartition(tasks, near, "_run").drop("_run")
 
 
 def _quoted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with their quotes; decimals are made once per line, not once per contract."""
     buy, sell = _price(F.col("l_discount")) * 8, _price(F.col("l_tax")) * 10
-    return spread(table(spark, sf_dir, "lineitem")).select(
+    return spread(table(spark, sf_dir, "lineitem"), "l_partkey").select(
         "l_orderkey",
         "l_partkey",
         "l_suppkey",
