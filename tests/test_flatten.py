@@ -70,6 +70,32 @@ def test_newest_contract_wins(raw):
     assert got == {11: Decimal("0.5000"), 12: Decimal("0.4200"), 51: None}
 
 
+def test_odd_variant_elements(spark):
+    """Elements that are no objects keep their row, what is no array gives none, and a wrong type fails the whole read."""
+
+    def read(*markets):
+        texts = [(json.dumps({"extracted_at": "2024-01-01T06:00:00", "data": {"markets": m}}),) for m in markets]
+        return flatten_snapshots(spark.createDataFrame(texts, "value STRING").select(F.parse_json("value").alias("raw")))
+
+    one = {"id": 1, "contracts": [CONTRACT, 7, None, {"contractId": "12", "lastTradePrice": "0.25"}]}
+    raw = read([one, 5, None, [one], {"id": "2", "contracts": 3}], {"id": 9}, "none", [])
+    assert [r.market_id for r in raw.orderBy("market_id").collect()] == [None, None, None, 1, 2]
+    assert {r.market_id: r.total_contracts for r in model.market_summary(raw).collect()} == {1: 4, 2: 0}
+    got = sorted((r.contract_id or 0, r.last_trade_price) for r in flatten_contracts(raw).collect() if r.contract_id)
+    assert got == [(11, Decimal("0.4200")), (12, Decimal("0.2500"))] and flatten_contracts(raw).count() == 4
+    for wrong in ([{"id": "x", "name": "n"}], [{"id": "x", "name": "n"}, 5]):
+        with pytest.raises(Exception, match="INVALID_VARIANT_CAST"):
+            read(wrong).select("market_name").collect()
+
+
+def test_variant_elements_are_read_in_one_pass(spark):
+    """Where all elements are objects, no path is read per attribute: one typed read a market array, one a contract array."""
+    text = spark.createDataFrame([(json.dumps(DOCUMENTS[0]),)], "value STRING")
+    details = flatten_contracts(flatten_snapshots(text.select(F.parse_json("value").alias("raw"))))
+    plan = details._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("THEN variant_get(") == 2 and "variant_get(_contract" not in plan and "variant_get(_market" not in plan
+
+
 def test_flatten_struct_names_and_json(spark, rows):
     df = spark.sql("SELECT 1 AS id, struct(struct(2 AS c, array(1, 2) AS d) AS b, map('k', 1) AS m) AS a")
     flat = flatten_struct(df)

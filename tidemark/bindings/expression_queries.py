@@ -578,6 +578,6 @@ def _(spark, sf):
 def _(spark, sf):
     """Two levels into JSON text, over whole documents."""
     parsed = lens.document_text(spark, sf).select(F.try_parse_json("value").alias("raw"))
-    markets = parsed.select(F.explode(c.variant_path("raw", "$.data.markets", "array<variant>")).alias("market"))
-    names = markets.select(c.variant_path("market", "$.name", "string").alias("market_name"))
+    markets = c.variant_rows("raw", "$.data.markets", {"name": "string"}, strict=True)
+    names = parsed.select(F.explode(markets).alias("market")).select(F.col("market.name").alias("market_name"))
     return names.groupBy("market_name").agg(F.count("*").alias("n"))

@@ -128,3 +128,21 @@ def variant_path(value: ColumnLike, path: str, type_name: str, strict: bool = Tr
     """Typed read at a path of a VARIANT; ``strict=False`` turns bad values into NULL."""
     read = F.variant_get if strict else F.try_variant_get
     return read(as_column(value), path, type_name)
+
+
+def variant_rows(value: ColumnLike, path: str, attributes: Mapping[str, str], strict: bool = False) -> Column:
+    """The array at a path of a VARIANT as structs of some attributes, read in one pass.
+
+    An element that is no object has NULL attributes, an attribute that is missing is NULL, and one of a wrong type fails the read,
+    as ``variant_path`` does. What is no array is NULL, or fails with ``strict``. Elements are copied as VARIANT only if
+    some are no objects: a copy walks the whole element, and each path read from it looks its attribute up again.
+    """
+    value = as_column(value)
+    names = ", ".join(f"`{name}`: {type_name}" for name, type_name in attributes.items())
+    shapes = F.try_variant_get(value, path, "array<struct<_: boolean>>")
+    one_by_one = F.transform(
+        variant_path(value, path, "array<variant>", strict),
+        lambda e: F.struct(*[variant_path(e, f"$.{name}", type_name).alias(name) for name, type_name in attributes.items()]),
+    )
+    all_objects = F.forall(shapes, lambda e: e.isNotNull())
+    return F.when(all_objects, F.variant_get(value, path, f"array<struct<{names}>>")).otherwise(one_by_one)

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.columns import status_or_unknown, variant_path
+from tidemark.functions.columns import status_or_unknown, variant_path, variant_rows
 
 # fixed values: attribute names in the payload, new name first, then the older one
 CONTRACT_ID_NAMES = ("id", "contractId")
@@ -22,19 +22,24 @@ CONTRACT_PRICES = {
     "last_close_price": "lastClosePrice",
 }
 PRICE_TYPE = "decimal(10,4)"
+MARKET_ATTRIBUTES = {"id": "bigint", "name": "string", "shortName": "string", "url": "string", "status": "string"}
+CONTRACT_ATTRIBUTES = {
+    **dict.fromkeys(CONTRACT_ID_NAMES, "bigint"),
+    **dict.fromkeys(CONTRACT_NAME_NAMES, "string"),
+    "status": "string",
+    **dict.fromkeys(CONTRACT_PRICES.values(), PRICE_TYPE),
+    "displayOrder": "int",
+}
 
 
 class _Element:
-    """Reads attributes of one array element, struct or VARIANT alike."""
+    """Reads attributes of one array element."""
 
-    def __init__(self, column: str, data_type: T.DataType):
-        self.column, self.data_type = column, data_type
-        self.is_variant = isinstance(data_type, T.VariantType)
+    def __init__(self, column: str, names: Iterable[str]):
+        self.column, self.names = column, set(names)
 
     def get(self, name: str, type_name: str) -> Column:
-        if self.is_variant:
-            return variant_path(self.column, f"$.{name}", type_name)
-        if name not in self.data_type.names:
+        if name not in self.names:
             return F.lit(None).cast(type_name)
         return F.col(f"{self.column}.{name}").cast(type_name)
 
@@ -42,15 +47,6 @@ class _Element:
         return F.coalesce(*[self.get(n, type_name) for n in names])
 
 
-def _element_type(data_type: T.DataType) -> T.DataType:
-    return data_type if isinstance(data_type, T.VariantType) else data_type.elementType
-
-
-def _items(array: Column, data_type: T.DataType) -> Column:
-    """Array to explode. A VARIANT that is no array (JSON null) gives no rows."""
-    return F.try_variant_get(array, "$", "array<variant>") if isinstance(data_type, T.VariantType) else array
-
-
 def array_length(df: DataFrame, name: str, null_is_zero: bool = True) -> Column:
     """Length of a nested array; a missing or JSON-null array counts as 0 (or NULL).
 
@@ -59,7 +55,7 @@ def array_length(df: DataFrame, name: str, null_is_zero: bool = True) -> Column:
     """
     data_type, value = df.schema[name].dataType, F.col(name)
     if isinstance(data_type, T.VariantType):
-        value = _items(value, data_type)
+        value = F.try_variant_get(value, "$", "array<boolean>")  # only counted: elements of other types are NULL
     elif isinstance(data_type.elementType, T.StructType):
         leaf = [f.name for f in data_type.elementType.fields if isinstance(f.dataType, T.AtomicType)]
         value = F.col(f"{name}.{leaf[0]}") if leaf else value
@@ -75,26 +71,23 @@ def flatten_snapshots(documents: DataFrame) -> DataFrame:
     give no rows.
     """
     if "raw" in documents.columns:
-        markets = F.try_variant_get("raw", "$.data.markets", "array<variant>")
+        markets = variant_rows("raw", "$.data.markets", MARKET_ATTRIBUTES | {"contracts": "variant"})
         taken_at = variant_path("raw", "$.extracted_at", "string")
-        market = _Element("_market", T.VariantType())
+        market = _Element("_market", MARKET_ATTRIBUTES)
     else:
         markets, taken_at = F.col("data.markets"), F.col("extracted_at")
-        market = _Element("_market", documents.schema["data"].dataType["markets"].dataType.elementType)
+        market = _Element("_market", documents.schema["data"].dataType["markets"].dataType.elementType.names)
     carried = [c for c in ("loaded_at", "source_file") if c in documents.columns]
     exploded = documents.select(
         taken_at.cast("timestamp_ntz").alias("extraction_timestamp"), *carried, F.explode(markets).alias("_market")
     )
-    contracts = (
-        F.try_variant_get("_market", "$.contracts", "variant") if market.is_variant else F.col("_market.contracts")
-    )
     return exploded.select(
         market.get("id", "bigint").alias("market_id"),
         market.get("name", "string").alias("market_name"),
         market.get("shortName", "string").alias("short_name"),
         market.get("url", "string").alias("market_url"),
         status_or_unknown(market.get("status", "string")).alias("market_status"),
-        contracts.alias("contract_data"),
+        F.col("_market.contracts").alias("contract_data"),
         "extraction_timestamp",
         *carried,
     )
@@ -102,11 +95,15 @@ def flatten_snapshots(documents: DataFrame) -> DataFrame:
 
 def flatten_contracts(raw: DataFrame) -> DataFrame:
     """One row per (contract, snapshot) of markets with an id; NULL and empty arrays give none."""
-    data_type = raw.schema["contract_data"].dataType
+    data_type, contracts = raw.schema["contract_data"].dataType, F.col("contract_data")
+    if isinstance(data_type, T.VariantType):
+        contracts, names = variant_rows(contracts, "$", CONTRACT_ATTRIBUTES), CONTRACT_ATTRIBUTES
+    else:
+        names = data_type.elementType.names
     exploded = raw.filter(F.col("market_id").isNotNull()).select(
-        "market_id", "extraction_timestamp", F.explode(_items(F.col("contract_data"), data_type)).alias("_contract")
+        "market_id", "extraction_timestamp", F.explode(contracts).alias("_contract")
     )
-    contract = _Element("_contract", _element_type(data_type))
+    contract = _Element("_contract", names)
     return exploded.select(
         contract.first_of(CONTRACT_ID_NAMES, "bigint").alias("contract_id"),
         "market_id",
