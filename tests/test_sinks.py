@@ -1,9 +1,11 @@
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import quality
+from tidemark.session import shared_dir, stored
 from tidemark.sinks import files, tables
 from tidemark.sinks.commits import CommitConflict
 
@@ -64,6 +66,16 @@ def test_upsert_table_counts(spark, tmp_path, rows):
     assert rows(tables.read_image(spark, base)) == [(1, "a"), (2, "b"), (3, "b")]
 
 
+def test_a_held_source_is_not_stored_again(spark, tmp_path, rows):
+    """Two merges of one stored frame: the same counts and rows, and no further copy of it under the shared folder."""
+    source = stored(spark.createDataFrame([(1, "a"), (2, "b")], "k BIGINT, v STRING"))
+    copies = lambda: len(list(Path(shared_dir(spark)).glob("source-*")))
+    base, before = str(tmp_path / "t"), copies()
+    assert tables.upsert_table(spark, base, source, ["k"], ["v"], held=True) == {"inserted": 2, "updated": 0, "kept": 0}
+    assert tables.upsert_table(spark, base, source, ["k"], ["v"], held=True) == {"inserted": 0, "updated": 2, "kept": 0}
+    assert rows(tables.read_image(spark, base)) == [(1, "a"), (2, "b")] and copies() == before
+
+
 def test_two_writers_of_an_image_lose_nothing(spark, tmp_path, rows):
     base, done = str(tmp_path / "t"), []
     frame = lambda ids, v: spark.createDataFrame([(i, v) for i in ids], "k BIGINT, v STRING")
