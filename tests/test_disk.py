@@ -25,6 +25,7 @@ def text_size(spark, tmp_path_factory):
 #: Query and the most it may leave under the shared folder, as a part of the plain text.
 MOST = [
     ("s01_document_scan", 0.2),
+    ("s01b_document_scan_variant", 0.2),
 ]
 
 
