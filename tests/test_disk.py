@@ -26,6 +26,7 @@ def text_size(spark, tmp_path_factory):
 MOST = [
     ("s01_document_scan", 0.2),
     ("s01b_document_scan_variant", 0.2),
+    ("s03_filename_filter", 0.4),
 ]
 
 
