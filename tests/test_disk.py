@@ -28,6 +28,7 @@ MOST = [
     ("s01b_document_scan_variant", 0.2),
     ("s03_filename_filter", 0.4),
     ("s04_tolerant_load", 0.2),
+    ("s05_load_statistics", 0.2),
 ]
 
 
