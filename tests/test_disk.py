@@ -29,6 +29,7 @@ MOST = [
     ("s03_filename_filter", 0.4),
     ("s04_tolerant_load", 0.2),
     ("s05_load_statistics", 0.2),
+    ("dq1_not_empty", 0.2),
 ]
 
 
