@@ -30,6 +30,7 @@ MOST = [
     ("s04_tolerant_load", 0.2),
     ("s05_load_statistics", 0.2),
     ("dq1_not_empty", 0.2),
+    ("s10_full_reload", 0.2),
 ]
 
 
