@@ -31,6 +31,7 @@ MOST = [
     ("s05_load_statistics", 0.2),
     ("dq1_not_empty", 0.2),
     ("s10_full_reload", 0.2),
+    ("s11_incremental_load", 0.15),
 ]
 
 

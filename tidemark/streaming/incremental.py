@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.operators.flatten import flatten_snapshots
 from tidemark.plans import model
 from tidemark.plans.model import SUMMARY_TIES
+from tidemark.session import COMPACT
 from tidemark.sinks.tables import prune_images, upsert_table
 from tidemark.sources.snapshots import (
     CORRUPT,
@@ -44,6 +45,7 @@ def _append(rows: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
     return (
         rows.writeStream.format("parquet")
         .option("path", target)
+        .options(**COMPACT)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .outputMode("append")
