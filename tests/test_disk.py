@@ -32,6 +32,7 @@ MOST = [
     ("dq1_not_empty", 0.2),
     ("s10_full_reload", 0.2),
     ("s11_incremental_load", 0.15),
+    ("s11b_incremental_upsert", 0.1),
 ]
 
 
