@@ -33,6 +33,7 @@ MOST = [
     ("s10_full_reload", 0.2),
     ("s11_incremental_load", 0.15),
     ("s11b_incremental_upsert", 0.1),
+    ("x13_quality_report", 0.2),
 ]
 
 
