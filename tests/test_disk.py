@@ -34,6 +34,7 @@ MOST = [
     ("s11_incremental_load", 0.15),
     ("s11b_incremental_upsert", 0.1),
     ("x13_quality_report", 0.2),
+    ("x11b_refresh_from_files", 0.2),
 ]
 
 
