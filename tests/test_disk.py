@@ -35,6 +35,7 @@ MOST = [
     ("s11b_incremental_upsert", 0.1),
     ("x13_quality_report", 0.2),
     ("x11b_refresh_from_files", 0.2),
+    ("x11c_incremental_equals_full", 0.3),
 ]
 
 
@@ -46,3 +47,12 @@ def test_disk_of_a_query(spark, text_size, monkeypatch, name, most):
     QUERIES[name](spark, SF).write.format("noop").mode("overwrite").save()
     taken = size(shared_dir(spark)) - before
     assert 0 < taken <= most * text_size
+
+
+def test_what_a_batch_or_a_merge_stores_for_itself_is_removed(spark, monkeypatch):
+    monkeypatch.setattr(source_queries, "_KEPT_UP", {})
+    left = lambda: {p.name for n in ("batch", "source", "combined", "staging") for p in Path(shared_dir(spark)).glob(f"{n}-*")}
+    before = left()
+    for name in ("x11c_incremental_equals_full", "s11b_incremental_upsert", "x13_quality_report"):
+        QUERIES[name](spark, SF).count()
+    assert left() == before
