@@ -36,6 +36,7 @@ MOST = [
     ("x13_quality_report", 0.2),
     ("x11b_refresh_from_files", 0.2),
     ("x11c_incremental_equals_full", 0.3),
+    ("x11d_incremental_details", 0.3),
 ]
 
 
