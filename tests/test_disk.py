@@ -37,6 +37,7 @@ MOST = [
     ("x11b_refresh_from_files", 0.2),
     ("x11c_incremental_equals_full", 0.3),
     ("x11d_incremental_details", 0.3),
+    ("x11e_incremental_summary", 0.3),
 ]
 
 
