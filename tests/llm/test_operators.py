@@ -522,3 +522,11 @@ def test_mixing(spark, odd, empty):
     assert mixing.mix(docs).count() == sum(r.copies for r in got if r.size)
     assert mixing.allocate(odd).count() == 9 and mixing.allocate(empty).count() == 0
     assert "key" in mixing.mix(odd).columns
+
+
+def test_each_pattern_runs_once_a_text(spark):
+    """Inside lambdas an expression is computed as often as it is named; the words of a text name each pattern once."""
+    df = spark.createDataFrame([("a",)], "text STRING")
+    for made, patterns in ((templates.marked_words, 5), (templates.slot_words, 2)):
+        plan = df.select(made(F.col("text")))._jdf.queryExecution().analyzed().toString()
+        assert plan.split(" AS ")[0].count("regexp_replace(") == patterns

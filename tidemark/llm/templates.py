@@ -50,10 +50,16 @@ _BLANKS = "\t\n\x0b\f\r"
 
 def _clean(text: Column) -> Column:
     """The text with single blanks and without the characters kept for placeholders."""
-    text = F.translate(F.coalesce(text, F.lit("")), _BLANKS, " " * len(_BLANKS))
-    text = F.when(F.contains(text, F.lit("  ")), F.regexp_replace(text, " {2,}", " ")).otherwise(text)
-    reserved = [F.contains(text, F.lit(c)) for c in _KEPT]
-    return F.when(reserved[0] | reserved[1] | reserved[2], F.translate(text, _KEPT, "")).otherwise(text)
+
+    def single_blanks(text: Column) -> Column:
+        return F.when(F.contains(text, F.lit("  ")), F.regexp_replace(text, " {2,}", " ")).otherwise(text)
+
+    def without_kept(text: Column) -> Column:
+        reserved = [F.contains(text, F.lit(c)) for c in _KEPT]
+        return F.when(reserved[0] | reserved[1] | reserved[2], F.translate(text, _KEPT, "")).otherwise(text)
+
+    # inside other lambdas Spark computes an expression as often as it is named, so each step is bound
+    return let(let(F.translate(F.coalesce(text, F.lit("")), _BLANKS, " " * len(_BLANKS)), single_blanks), without_kept)
 
 
 def _split(text: Column) -> Column:
@@ -65,10 +71,13 @@ def marked_words(text: Column) -> Column:
 
     There are as many as ``slot_words`` has. Words made of marks alone are in neither.
     """
+
+    def units_marked(body: Column) -> Column:
+        with_units = F.regexp_replace(body, _UNIT.replace("<num>", _NUMBER_MARK), f"{_NUMBER_MARK} {_UNIT_MARK}$1")
+        return F.when(F.contains(body, F.lit(_NUMBER_MARK)), with_units).otherwise(body)
+
     body = F.regexp_replace(_clean(text), _NAME, f"{_NAME_MARK}$1")
-    body = F.regexp_replace(body, _NUMBER, _NUMBER_MARK)
-    with_units = F.regexp_replace(body, _UNIT.replace("<num>", _NUMBER_MARK), f"{_NUMBER_MARK} {_UNIT_MARK}$1")
-    body = F.when(F.contains(body, F.lit(_NUMBER_MARK)), with_units).otherwise(body)
+    body = let(F.regexp_replace(body, _NUMBER, _NUMBER_MARK), units_marked)
     return _split(F.regexp_replace(F.lower(body), rf"[^\p{{L}}\p{{N}}{_KEPT} ]+", ""))
 
 
