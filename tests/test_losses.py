@@ -60,6 +60,14 @@ def test_timestamps_with_and_without_offset(spark, tmp_path, text, moment):
     assert [r.extracted_at for r in load.good.collect()] == [moment]
 
 
+def test_offsets_behind_blanks_are_read_without_trimming_every_text(spark, tmp_path):
+    stamps = ["2024-01-01T10:00:00+02:00 ", "2024-01-01T08:00:00Z\n", "2024-01-01T10:00:00+0200", "2024-01-01T08:00:00 "]
+    documents = {f"d{i}": document(at=at) for i, at in enumerate(stamps)}
+    read = snapshots.read_documents(spark, land(tmp_path / "in", **documents))
+    assert {r.extracted_at for r in read.collect()} == {datetime(2024, 1, 1, 8)}
+    assert "trim(" not in read._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_a_timestamp_that_is_none_is_an_error(spark, tmp_path):
     load = snapshots.load_snapshots(spark, land(tmp_path / "in", a=document(at="soon")))
     assert load.good.count() == 0 and load.quarantined.count() == 1

@@ -83,15 +83,15 @@ def with_moments(documents: DataFrame, moments: list[str], tolerant: bool) -> Da
     for name in moments:
         text = F.col(f"`{name}`")
         # most texts have no offset; three characters tell, and only what may have one is matched and cast with its zone
-        tail = F.rtrim(text, F.lit(" \t\r\n\f\v"))
-        signs = [F.substring(tail, place, 1).isin("+", "-") for place in (-6, -5)]
-        may_have = signs[0] | signs[1] | F.substring(tail, -1, 1).isin("Z", "z")
+        signs = [F.substring(text, place, 1).isin("+", "-") for place in (-6, -5)]
+        may_have = signs[0] | signs[1] | F.substring(text, -1, 1).isin("Z", "z", *" \t\r\n\f\v")
         point = text.try_cast("timestamp")
         zoned = F.convert_timezone(F.current_timezone(), F.lit("UTC"), point.cast("timestamp_ntz"))
         local = text.try_cast("timestamp_ntz") if tolerant else text.cast("timestamp_ntz")
-        moment = F.when(may_have & F.rlike(text, F.lit(_ZONE)) & point.isNotNull(), zoned).otherwise(local)
+        has = may_have & F.rlike(text, F.lit(_ZONE)) & point.isNotNull()
+        moment = F.when(has, zoned).otherwise(local)
         if tolerant:
-            lost = text.isNotNull() & moment.isNull()
+            lost = text.isNotNull() & ~has & local.isNull()  # a point in time is never lost
             said = F.concat(F.lit(f"{name}: "), text)
             documents = documents.withColumn(CORRUPT, F.coalesce(F.col(CORRUPT), F.when(lost, said)))
         documents = documents.withColumn(name, moment)
