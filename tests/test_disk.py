@@ -58,3 +58,25 @@ def test_what_a_batch_or_a_merge_stores_for_itself_is_removed(spark, monkeypatch
     for name in ("x11c_incremental_equals_full", "s11b_incremental_upsert", "x13_quality_report"):
         QUERIES[name](spark, SF).count()
     assert left() == before
+
+
+#: Query and the most it may leave, as a part of the plain text, now that lines alike are written one after the other.
+LAID = [
+    ("s01_document_scan", 0.058),
+]
+
+
+@pytest.mark.parametrize(("name", "most"), LAID, ids=[name for name, _ in LAID])
+def test_disk_of_a_query_with_lines_laid_together(spark, text_size, monkeypatch, name, most):
+    test_disk_of_a_query(spark, text_size, monkeypatch, name, most)
+
+
+def test_lines_of_an_even_scan_are_written_without_a_shuffle(spark):
+    cores = spark.sparkContext.defaultParallelism
+    rows = lambda *sizes: spark.createDataFrame([(i,) for i in range(sum(sizes))], "k long")
+    even = rows(*[50] * cores).repartition(cores)
+    assert lens.laid_together(even, "k").rdd.getNumPartitions() == cores
+    plans = [lens.laid_together(df, "k")._jdf.queryExecution().toString() for df in (even, even.coalesce(1))]
+    assert ["_run" in plan for plan in plans] == [False, True]
+    assert sorted(lens.laid_together(even.coalesce(1), "k").collect()) == sorted(even.collect())
+    assert lens.laid_together(even.where("k < 0"), "k").count() == 0

@@ -11,6 +11,8 @@ Two views of the same tables:
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -209,10 +211,26 @@ def spread(df: DataFrame, near: str) -> DataFrame:
     return df.withColumn("_run", run).repartition(tasks, near, "_run").drop("_run")
 
 
-def _quoted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+#: Line items in one task that writes documents; only the lines are sorted there, not what is built from them.
+ROWS_PER_WRITER = 4_000_000
+
+
+def laid_together(df: DataFrame, near: str) -> DataFrame:
+    """Rows for a writer, those alike in ``near`` one after the other in each task, which packs text best.
+
+    The tasks of the scan are taken as they are if they are enough, even and small; otherwise rows are dealt as by ``spread``.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    tasks = df.groupBy(F.spark_partition_id()).count().agg(F.count("*"), F.sum("count"), F.max("count"))  # from the footers
+    number, rows, largest = tasks.first()
+    even = rows and number >= cores and largest <= min(ROWS_PER_WRITER, 2 * rows / cores)
+    return (df if even else spread(df, near)).sortWithinPartitions(near)
+
+
+def _quoted_lines(spark: SparkSession, sf_dir: str, deal: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
     """Line items with their quotes; decimals are made once per line, not once per contract."""
     buy, sell = _price(F.col("l_discount")) * 8, _price(F.col("l_tax")) * 10
-    return spread(table(spark, sf_dir, "lineitem"), "l_partkey").select(
+    return deal(table(spark, sf_dir, "lineitem"), "l_partkey").select(
         "l_orderkey",
         "l_partkey",
         "l_suppkey",
@@ -231,8 +249,11 @@ def _quoted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One snapshot document per line item, typed: extracted_at, source, data.markets."""
+def documents(spark: SparkSession, sf_dir: str, deal: Callable[[DataFrame, str], DataFrame] = spread) -> DataFrame:
+    """One snapshot document per line item, typed: extracted_at, source, data.markets.
+
+    ``deal`` lays the lines out over tasks: ``laid_together`` for documents that are written as text.
+    """
     line_market = F.col("l_orderkey") * 10 + F.col("l_linenumber")
     part_market = F.col("l_partkey") + F.lit(PART_MARKETS)
     flag, quantity = F.col("l_returnflag"), F.col("l_quantity")
@@ -244,7 +265,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(1)
     )
     status = F.when(F.col("l_tax") != 0, F.col("line_status"))
-    return _quoted_lines(spark, sf_dir).select(
+    return _quoted_lines(spark, sf_dir, deal).select(
         F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("extracted_at"),
         F.concat(F.lit("feed/"), F.col("l_suppkey").cast("string")).alias("source"),
         F.struct(

@@ -42,7 +42,7 @@ def landed(spark, sf, name: str, write) -> str:
 
 def document_files(spark, sf) -> str:
     """Snapshot documents as JSON lines."""
-    return landed(spark, sf, "documents", lambda path: files.save_json(lens.documents(spark, sf), path, "gzip"))
+    return landed(spark, sf, "documents", lambda path: files.save_json(lens.documents(spark, sf, lens.laid_together), path, "gzip"))
 
 
 def broken_files(spark, sf) -> str:
