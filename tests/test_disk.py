@@ -63,6 +63,7 @@ def test_what_a_batch_or_a_merge_stores_for_itself_is_removed(spark, monkeypatch
 #: Query and the most it may leave, as a part of the plain text, now that lines alike are written one after the other.
 LAID = [
     ("s01_document_scan", 0.058),
+    ("s01b_document_scan_variant", 0.058),
 ]
 
 
