@@ -64,6 +64,7 @@ def test_what_a_batch_or_a_merge_stores_for_itself_is_removed(spark, monkeypatch
 LAID = [
     ("s01_document_scan", 0.058),
     ("s01b_document_scan_variant", 0.058),
+    ("dq1_not_empty", 0.058),
 ]
 
 
