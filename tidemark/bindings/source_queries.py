@@ -49,7 +49,7 @@ def broken_files(spark, sf) -> str:
     """The same documents, those of the highest tax cut off in the middle, as .txt.gz files."""
 
     def write(path):
-        text = lens.documents(spark, sf).select(
+        text = lens.documents(spark, sf, lens.laid_together).select(
             F.to_json(F.struct("extracted_at", "source", "data")).alias("text"),
             F.col("data.markets")[1]["contracts"][0]["bestSellYesCost"].alias("quote"),
         )
