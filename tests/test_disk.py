@@ -66,6 +66,7 @@ LAID = [
     ("s01b_document_scan_variant", 0.058),
     ("dq1_not_empty", 0.058),
     ("s04_tolerant_load", 0.055),
+    ("s03_filename_filter", 0.115),
 ]
 
 
