@@ -67,6 +67,7 @@ LAID = [
     ("dq1_not_empty", 0.058),
     ("s04_tolerant_load", 0.055),
     ("s03_filename_filter", 0.115),
+    ("s05_load_statistics", 0.055),
 ]
 
 
