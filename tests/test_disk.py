@@ -68,6 +68,7 @@ LAID = [
     ("s04_tolerant_load", 0.055),
     ("s03_filename_filter", 0.115),
     ("s05_load_statistics", 0.055),
+    ("s11b_incremental_upsert", 0.07),
 ]
 
 

@@ -299,7 +299,7 @@ def _(spark, sf):
 
 def _waves(spark, sf):
     """Documents in two parts: taken before 1998 and later."""
-    documents, early = lens.documents(spark, sf), F.col("extracted_at") < "1998"
+    documents, early = lens.documents(spark, sf, lens.laid_together), F.col("extracted_at") < "1998"
     return documents.filter(early), documents.filter(~early)
 
 
