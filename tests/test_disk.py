@@ -69,6 +69,7 @@ LAID = [
     ("s03_filename_filter", 0.115),
     ("s05_load_statistics", 0.055),
     ("s11b_incremental_upsert", 0.07),
+    ("x11b_refresh_from_files", 0.14),
 ]
 
 
