@@ -70,6 +70,7 @@ LAID = [
     ("s05_load_statistics", 0.055),
     ("s11b_incremental_upsert", 0.07),
     ("x11b_refresh_from_files", 0.14),
+    ("x11d_incremental_details", 0.195),
 ]
 
 
