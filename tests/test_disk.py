@@ -71,6 +71,7 @@ LAID = [
     ("s11b_incremental_upsert", 0.07),
     ("x11b_refresh_from_files", 0.14),
     ("x11d_incremental_details", 0.195),
+    ("x11e_incremental_summary", 0.195),
 ]
 
 
