@@ -134,3 +134,33 @@ def test_follow_a_stream(spark, waves, tmp_path, rows):
         upkeep.follow(stream, warehouse, str(tmp_path / "cp"), metric_date=DAY).awaitTermination()
     assert state(warehouse, rows) == full(spark, rows, *waves)
     assert rows(warehouse.quarantine.read(), "_corrupt_record") == [("{",)]
+
+
+def test_a_repeated_batch_reads_no_document(spark, waves, tmp_path, rows):
+    warehouse = upkeep.Warehouse.at(spark, str(tmp_path / "w"), buckets=2)
+    batch = tmp_path / "batch"
+    shutil.copytree(waves[0], batch)
+    given = documents(spark, str(batch))
+    upkeep.apply_batch(given, warehouse, 0, metric_date=DAY)
+    before = state(warehouse, rows)
+    shutil.rmtree(batch)  # a scan of these files would fail
+    again = upkeep.apply_batch(given, warehouse, 0, metric_date=DAY)
+    assert not any(n for counts in (again.market_summary, again.contract_details, again.market_totals, again.daily_metrics) for n in counts.values())
+    assert state(warehouse, rows) == before
+
+
+def test_the_first_batch_is_stored_in_its_tables_only(spark, waves, tmp_path, rows, monkeypatch):
+    """Raw rows are read from where they were appended, and what meets an empty table is written at once."""
+    from tidemark.sinks import managed
+
+    stores = []
+    for module in (upkeep, managed):
+        scratch = module.scratch
+        monkeypatch.setattr(module, "scratch", lambda df, name, scratch=scratch: stores.append(name) or scratch(df, name))
+    warehouse = upkeep.Warehouse.at(spark, str(tmp_path / "w"), buckets=2)
+    upkeep.apply_batch(documents(spark, waves[0]), warehouse, 0, metric_date=DAY)
+    assert stores == []
+    assert state(warehouse, rows) == full(spark, rows, waves[0])
+    upkeep.apply_batch(documents(spark, waves[1]), warehouse, 1, metric_date=DAY)
+    assert "batch" not in stores and "source" in stores
+    assert state(warehouse, rows) == full(spark, rows, *waves[:2])
