@@ -165,31 +165,33 @@ ALL_TABLES_SQL = f"WITH {MARKETS_SQL},\n{CONTRACTS_SQL},\n{METRICS_SQL}\n"
 # --- document view ----------------------------------------------------------------------------
 
 
-def _contracts(count: Column, market: Column, old_names: bool) -> Column:
+def _contracts(count: Column | int, market: Column, old_names: bool) -> Column:
     """The first ``count`` contracts of a market; NULL for a NULL count."""
     nothing = F.lit(None)
 
-    def contract(item: Column) -> Column:
-        number = item["number"]
-        contract_id = market * 10 + number
-        name = F.concat(F.lit("Contract "), number.cast("string"), F.lit(" of "), market.cast("string"))
+    def contract(number: int) -> Column:
+        contract_id = market * 10 + F.lit(number)
+        name = F.concat(F.lit(f"Contract {number} of "), market.cast("string"))
+        step = F.lit(f"0.0{number}").cast("decimal(4,2)")
         return F.struct(
             (nothing.cast("bigint") if old_names else contract_id).alias("id"),
             (nothing.cast("string") if old_names else name).alias("name"),
             (contract_id if old_names else nothing.cast("bigint")).alias("contractId"),
             (name if old_names else nothing.cast("string")).alias("contractName"),
             F.col("line_status").alias("status"),
-            _price(F.when(F.col("l_quantity") >= 5 * (number - 1), F.col("buy") + item["step"])).alias("lastTradePrice"),
+            _price(F.when(F.col("l_quantity") >= 5 * (number - 1), F.col("buy") + step)).alias("lastTradePrice"),
             F.col("buy").alias("bestBuyYesCost"),
             F.col("sell").alias("bestSellYesCost"),
             F.col("buy_no").alias("bestBuyNoCost"),
             F.col("sell_no").alias("bestSellNoCost"),
             F.col("close").alias("lastClosePrice"),
-            number.alias("displayOrder"),
+            F.lit(number).alias("displayOrder"),
         )
 
-    steps = [F.struct(F.lit(i).alias("number"), F.lit(f"0.0{i}").cast("decimal(4,2)").alias("step")) for i in (1, 2, 3)]
-    return F.transform(F.slice(F.array(*steps), F.lit(1), count), contract)
+    # written out, not a lambda over numbers: lambdas are not compiled
+    if isinstance(count, int):
+        return F.array(*[contract(i + 1) for i in range(count)])
+    return F.slice(F.array(*[contract(i) for i in (1, 2, 3)]), F.lit(1), count)
 
 
 #: Line items in one task that builds documents; a document has two markets and up to five contracts, which are sorted in the task.
@@ -284,7 +286,7 @@ def documents(spark: SparkSession, sf_dir: str, deal: Callable[[DataFrame, str],
                     F.col("l_returnflag").alias("shortName"),
                     F.concat(F.lit("/parts/"), F.col("l_partkey").cast("string")).alias("url"),
                     F.lit("Open").alias("status"),
-                    _contracts(F.lit(2), part_market, old_names=True).alias("contracts"),
+                    _contracts(2, part_market, old_names=True).alias("contracts"),
                 ),
             ).alias("markets")
         ).alias("data"),
