@@ -148,3 +148,23 @@ def test_documents_are_built_in_tasks_of_bounded_size(spark, tmp_path, monkeypat
     sizes = [r.n for r in documents.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
     total = lines.count()
     assert sum(sizes) == total and len(sizes) >= total // 1000 and max(sizes) <= 1500
+
+
+def test_k13_newest_rows_are_chosen_before_the_exchange(spark):
+    """No key is NULL or hot: the rows are ranked, and a map task sends only the newest ones of its keys."""
+    raw = lens.raw(spark, SF)
+    text = plan(latest.keep_latest_rows(raw, "market_id", "extraction_timestamp"))
+    assert text.count("WindowGroupLimit") == 2 and "Join" not in text
+
+
+@pytest.mark.parametrize("undated", [0, 4])
+def test_k13_ranked_rows_equal_joined_ones(spark, rows, monkeypatch, undated):
+    time = F.when(F.col("id") % 5 >= undated, F.col("id") % 7)
+    df = spark.range(0, 500, 1, 6).select((F.col("id") % 11).alias("k"), time.alias("t"), F.array("id").alias("a"))
+    ranked = latest.keep_latest_rows(df, "k", "t")
+    assert "Window" in plan(ranked)
+    monkeypatch.setattr(latest, "HOT_KEY", 10)
+    joined = latest.keep_latest_rows(df, "k", "t")
+    assert "Window" not in plan(joined)
+    assert rows(ranked) == rows(joined) == rows(latest.keep_latest_rows(df, "k", "t", has_null_keys=False))
+    assert latest.keep_latest_rows(df.where("k < 0"), "k", "t").count() == 0

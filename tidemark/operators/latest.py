@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import ColumnLike, as_column, descending
 from tidemark.operators.skew import slot_when
+from tidemark.session import freed
+
+#: Most rows of a key that one task ranks; beyond it the rows are joined to their newest pair, which a join may split.
+HOT_KEY = 1_000_000
 
 
 def latest_per_key(
@@ -33,11 +37,15 @@ def keep_latest_rows(df: DataFrame, key: str, ts: str, has_null_keys: bool | Non
 
     Ties all stay. The delete follows three-valued NOT IN: a row whose test is unknown
     stays. Without NULL keys that means rows with a NULL ts plus rows at their key's newest ts.
-    ``has_null_keys=None`` looks for a NULL key first (one pruned column, stops at the first hit).
+    ``has_null_keys=None`` counts the rows per key first (two pruned columns). If no key is NULL or held by more than ``HOT_KEY``
+    rows the rows are ranked, so that a map task sends none but its newest ones.
     """
     k, t = F.col(key), F.col(ts)
     if has_null_keys is None:
-        has_null_keys = not df.filter(k.isNull()).select(key).isEmpty()
+        facts = _key_facts(df, key, ts)
+        has_null_keys = facts["null_keys"] > 0
+        if not has_null_keys and facts["most"] <= HOT_KEY:
+            return _ranked_newest(df, key, ts, facts["undated"] > 0)
     if not has_null_keys:
         # joined on (key, ts), not ranked in a window: copies of one newest pair may be a third
         # of all rows, and a join splits them over tasks while a window would not
@@ -66,3 +74,24 @@ def keep_latest_rows(df: DataFrame, key: str, ts: str, has_null_keys: bool | Non
         .unionByName(at_maximum.select(*df.columns))
         .unionByName(unkeyed.filter(undated_groups > 0))
     )
+
+
+def _key_facts(df: DataFrame, key: str, ts: str):
+    """Rows with a NULL key, rows without a time, and the most rows that one key holds."""
+    counts = df.groupBy(key).agg(F.count("*").alias("n"), F.count_if(F.col(ts).isNull()).alias("undated"))
+    null = F.col(key).isNull()
+    facts = counts.agg(
+        F.coalesce(F.sum(F.when(null, F.col("n"))), F.lit(0)).alias("null_keys"),
+        F.coalesce(F.sum("undated"), F.lit(0)).alias("undated"),
+        F.coalesce(F.max(F.when(~null, F.col("n"))), F.lit(0)).alias("most"),
+    )
+    with freed(df.sparkSession):
+        return facts.first()
+
+
+def _ranked_newest(df: DataFrame, key: str, ts: str, has_undated: bool) -> DataFrame:
+    """Rows at the newest time of their key, ties included, and those without a time."""
+    dated = df.filter(F.col(ts).isNotNull()) if has_undated else df
+    window = Window.partitionBy(key).orderBy(F.col(ts).desc())
+    newest = dated.withColumn("_rank", F.rank().over(window)).filter("_rank = 1").drop("_rank")
+    return newest.unionByName(df.filter(F.col(ts).isNull())) if has_undated else newest
